@@ -19,7 +19,7 @@ def read_batch(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     options: Mapping[str, str] | None = None,
     ignore_missing_files: bool = False,
 ) -> DataFrame:
@@ -43,7 +43,7 @@ def infer_stream_schema(
 def read_stream(
     spark: SparkSession,
     path: str,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int | None = None,

@@ -1,0 +1,290 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from delayworks.operators import dedup_stream
+from delayworks.plans import gold_daily_route
+from delayworks.schema import FLIGHT_KEY, FLIGHT_SCHEMA
+from delayworks.sinks import run_available, write_stream
+from delayworks.sources import infer_stream_schema, read_batch, read_stream
+from delayworks.streaming import (
+    StreamInput,
+    StreamOutput,
+    bronze_stream,
+    gold_stream,
+    read_changes,
+    read_snapshot,
+    silver_stream,
+)
+
+
+@pytest.fixture
+def landing(flights, tmp_path):
+    """Adds one file of flights to a folder."""
+    path = f"{tmp_path}/landing"
+
+    def add(*overrides):
+        flights(*overrides).coalesce(1).write.mode("append").parquet(path)
+        return path
+
+    return add
+
+
+@pytest.fixture
+def config(tmp_path):
+    def build(source, name, mode="append", options=None, **output):
+        return (
+            {"datasetInputPath": source, "autoloaderOptions": options or {}},
+            {
+                "datasetOuputPath": f"{tmp_path}/{name}",
+                "checkpointPath": f"{tmp_path}/{name}_checkpoint",
+                "outputMode": mode,
+                **output,
+            },
+        )
+
+    return build
+
+
+# --- configuration ---
+
+
+def test_input_config_takes_vendor_options():
+    source = StreamInput.from_config(
+        {
+            "datasetInputPath": "/in",
+            "autoloaderOptions": {
+                "cloudFiles.format": "orc",
+                "cloudFiles.schemaLocation": "/schema",
+                "cloudFiles.maxFilesPerTrigger": "100",
+                "cloudFiles.inferColumnTypes": "true",
+                "cloudFiles.rescuedDataColumn": "_rescued_data",
+                "pathGlobFilter": "*.orc",
+            },
+        }
+    )
+    assert source == StreamInput("/in", "orc", {"pathGlobFilter": "*.orc"}, 100, "_rescued_data")
+
+
+def test_config_defaults_and_pass_through():
+    assert StreamInput.from_config({"datasetInputPath": "/in"}) == StreamInput("/in")
+    assert StreamInput.from_config({"datasetInputPath": "/in", "format": "delta"}).fmt == "delta"
+    sink = StreamOutput.from_config({"datasetOuputPath": "/out", "checkpointPath": "/c"})
+    assert sink == StreamOutput("/out", "/c", "parquet", "append", ())
+    both = {"datasetOuputPath": "/out", "checkpointPath": "/c", "partitionBy": ["a", "b"]}
+    assert StreamOutput.from_config(both).partition_by == ("a", "b")
+
+
+# --- sources and sinks ---
+
+
+def test_bronze_takes_only_new_files(spark, landing, config):
+    job = config(landing({}, {}), "bronze")
+    bronze_stream(spark, *job, run_date=date(2024, 3, 15))
+    landing({"CRSDepTime": 601})
+    bronze_stream(spark, *job, run_date=date(2024, 3, 16))
+    stored = read_batch(spark, job[1]["datasetOuputPath"])
+    assert stored.columns == ["ingestion_date", "fecha", *FLIGHT_SCHEMA.names[1:]]
+    days = sorted((r["ingestion_date"].day, r["fecha"].day) for r in stored.collect())
+    assert days == [(15, 15), (15, 15), (16, 16)]
+
+
+def test_file_cap_splits_the_input(spark, landing, config):
+    for clock in range(3):
+        path = landing({"CRSDepTime": clock})
+    query = bronze_stream(spark, *config(path, "bronze", options={"cloudFiles.maxFilesPerTrigger": "1"}))
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+
+
+def test_stream_without_schema_is_refused(spark, landing):
+    with pytest.raises(Exception, match="[Ss]chema"):
+        read_stream(spark, landing({}))
+
+
+def test_inferred_schema_is_that_of_the_files(spark, landing):
+    assert infer_stream_schema(spark, landing({})) == FLIGHT_SCHEMA
+
+
+def test_missing_files_can_be_ignored(spark, landing):
+    path = landing({})
+    gone = read_batch(spark, path, ignore_missing_files=True)
+    strict = read_batch(spark, path)
+    import pathlib
+
+    for file in pathlib.Path(path).glob("*.parquet"):
+        file.unlink()
+    assert gone.collect() == []
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        strict.collect()
+
+
+def test_file_sink_takes_append_only(spark, landing, tmp_path):
+    stream = read_stream(spark, landing({}), FLIGHT_SCHEMA)
+    writer = write_stream(stream, f"{tmp_path}/o", f"{tmp_path}/c", output_mode="complete")
+    with pytest.raises(Exception, match="complete|Complete|UNSUPPORTED"):
+        run_available(spark, writer)
+
+
+def test_partitioned_stream_bounds_files_per_value(spark, landing, tmp_path):
+    for clock in range(6):
+        path = landing(*({"CRSDepTime": clock, "OriginCityName": c} for c in ("Lima", "Oslo")))
+    stream = read_stream(spark, path, FLIGHT_SCHEMA)
+    writer = write_stream(
+        stream, f"{tmp_path}/o", f"{tmp_path}/c", partition_by=["OriginCityName"], files_per_value=2
+    )
+    run_available(spark, writer)
+    stored = read_batch(spark, f"{tmp_path}/o")
+    assert stored.columns[-1] == "OriginCityName" and stored.count() == 12
+    assert len(list((tmp_path / "o" / "OriginCityName=Lima").glob("*.parquet"))) <= 2
+
+
+def test_rescued_column_on_a_stream(spark, flights, config, tmp_path):
+    raw = flights({}, {"CRSDepTime": 601}).withColumn(
+        "Distance", F.when(F.col("CRSDepTime") == 601, "far").otherwise("9.5")
+    )
+    raw.write.parquet(f"{tmp_path}/raw")
+    job = config(f"{tmp_path}/raw", "bronze", options={"cloudFiles.rescuedDataColumn": "_rescued_data"})
+    bronze_stream(spark, *job)
+    got = read_batch(spark, f"{tmp_path}/bronze").select("Distance", "_rescued_data").collect()
+    assert sorted(map(tuple, got), key=repr) == [(9.5, None), (None, '{"Distance":"far"}')]
+
+
+def test_failures_are_raised(spark, flights, config, tmp_path):
+    flights({}).withColumn("Distance", F.lit("far")).write.parquet(f"{tmp_path}/raw")
+    job = config(f"{tmp_path}/raw", "bronze")
+    with pytest.raises(Exception):
+        bronze_stream(spark, *job, schema=FLIGHT_SCHEMA)
+
+
+# --- silver ---
+
+
+@pytest.mark.parametrize("splits", [1, 16])
+def test_silver_keeps_the_first_arrival_across_runs(spark, landing, config, splits):
+    job = config(landing({"Distance": 1.0}, {"CRSDepTime": None}, {"CRSDepTime": None}), "silver")
+    silver_stream(spark, *job, hot_key_splits=splits)
+    landing({"Distance": 2.0}, {"CRSDepTime": 602})
+    silver_stream(spark, *job, hot_key_splits=splits)
+    got = read_batch(spark, job[1]["datasetOuputPath"]).select("CRSDepTime", "Distance").collect()
+    assert sorted(map(tuple, got), key=repr) == [(600, 1.0), (602, 500.0), (None, 500.0)]
+
+
+def test_silver_does_not_clean_unless_asked(spark, landing, config):
+    path = landing({"DepDelay": -3.0, "ArrDelayMinutes": None})
+    silver_stream(spark, *config(path, "as_is"))
+    silver_stream(spark, *config(path, "cleaned"), clean=True)
+    (as_is,) = read_batch(spark, config(path, "as_is")[1]["datasetOuputPath"]).collect()
+    (cleaned,) = read_batch(spark, config(path, "cleaned")[1]["datasetOuputPath"]).collect()
+    assert (as_is["DepDelay"], as_is["ArrDelayMinutes"]) == (-3.0, None)
+    assert (cleaned["DepDelay"], cleaned["ArrDelayMinutes"], cleaned["is_delayed_15"]) == (0.0, 0.0, 0)
+
+
+def test_hot_key_split_gives_the_same_keys(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("k"), "id"
+    )
+    rows.write.parquet(f"{tmp_path}/in")
+    for splits in (1, 4):
+        stream = read_stream(spark, f"{tmp_path}/in", rows.schema)
+        kept = dedup_stream(stream, ["k"], hot_key_splits=splits)
+        assert kept.columns == ["k", "id"]
+        run_available(spark, write_stream(kept, f"{tmp_path}/o{splits}", f"{tmp_path}/c{splits}"))
+        got = sorted(r["k"] for r in read_batch(spark, f"{tmp_path}/o{splits}").collect())
+        assert got == sorted({r["k"] for r in rows.collect()})
+
+
+def test_bounded_dedup_forgets_after_the_delay(spark, tmp_path):
+    def add(n, *times):
+        spark.createDataFrame([(1, t) for t in times], "k int, t string").select(
+            "k", F.col("t").cast("timestamp").alias("t"), F.lit(n).alias("n")
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        stream = read_stream(spark, f"{tmp_path}/in", "k int, t timestamp, n int")
+        kept = dedup_stream(stream, ["k"], event_time="t", delay="1 hour")
+        run_available(spark, write_stream(kept, f"{tmp_path}/o", f"{tmp_path}/c"))
+        return read_batch(spark, f"{tmp_path}/o").count()
+
+    add(1, "2024-01-01 00:00:00", "2024-01-01 00:30:00")
+    assert run() == 1
+    add(2, "2024-01-01 00:50:00")
+    assert run() == 1
+    add(3, "2024-01-01 09:00:00")
+    run()
+    add(4, "2024-01-01 12:00:00")
+    assert run() >= 2
+
+
+def test_event_time_needs_a_delay(spark):
+    with pytest.raises(ValueError):
+        dedup_stream(spark.range(1), ["id"], event_time="id")
+
+
+def test_state_store_setting_is_left_as_found(spark, landing, config):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    silver_stream(spark, *config(landing({}), "silver"))
+    assert spark.conf.get(name, None) is None
+
+
+# --- gold ---
+
+DAYS = [
+    {"DayofMonth": d, "FlightDate": date(2024, 1, d), "CRSDepTime": 60 * i, "ArrDelayMinutes": 10.0 * i}
+    for d in (1, 2, 3)
+    for i in range(4)
+]
+
+
+@pytest.mark.parametrize("mode, read", [("complete", read_snapshot), ("update", read_changes)])
+def test_running_results_equal_the_batch_plan(spark, landing, flights, config, mode, read):
+    job = config(landing(*DAYS[:5]), "gold", mode)
+    gold_stream(spark, *job)
+    for part in (DAYS[5:6], DAYS[6:]):
+        landing(*part)
+    gold_stream(spark, *job)
+    before = sorted(read(spark, job[1]["datasetOuputPath"]).collect())
+    gold_stream(spark, *job)  # nothing new
+    after = read(spark, job[1]["datasetOuputPath"])
+    expected = gold_daily_route(flights(*DAYS))
+    assert after.columns == expected.columns
+    assert sorted(after.collect()) == before == sorted(expected.collect())
+
+
+def test_update_mode_writes_only_changed_groups(spark, landing, config):
+    job = config(landing(*DAYS), "gold", "update")
+    gold_stream(spark, *job)
+    landing({"DayofMonth": 2, "FlightDate": date(2024, 1, 2), "CRSDepTime": 999})
+    gold_stream(spark, *job)
+    stored = read_batch(spark, job[1]["datasetOuputPath"])
+    assert sorted(r["DayofMonth"] for r in stored.where("batch_id > 0").collect()) == [2]
+    latest = {r["DayofMonth"]: r["flights_count"] for r in read_changes(spark, job[1]["datasetOuputPath"]).collect()}
+    assert latest == {1: 4, 2: 5, 3: 4}
+
+
+def test_event_time_gold_emits_finished_days_and_drops_late_rows(spark, landing, flights, config):
+    job = config(landing(*DAYS), "gold", partitionBy=["OriginCityName"])
+    gold_stream(spark, *job, delay="10 minutes")
+    stored = read_batch(spark, job[1]["datasetOuputPath"])
+    finished = gold_daily_route(flights(*DAYS)).where("DayofMonth = 1")
+    assert sorted(stored.columns) == sorted(finished.columns)
+    assert stored.select(finished.columns).collect() == finished.collect()
+    late = {"DayofMonth": 1, "FlightDate": date(2024, 1, 1), "CRSDepTime": 999}
+    landing(late, {"DayofMonth": 5, "FlightDate": date(2024, 1, 5)})
+    gold_stream(spark, *job, delay="10 minutes")
+    counts = {r["DayofMonth"]: r["flights_count"] for r in read_batch(spark, job[1]["datasetOuputPath"]).collect()}
+    assert counts == {1: 4, 2: 4, 3: 4}
+
+
+def test_layers_in_a_row(spark, landing, config, tmp_path):
+    bronze = config(landing({}, {}, {"CRSDepTime": 601}), "bronze")
+    silver = config(f"{tmp_path}/bronze", "silver")
+    gold = config(f"{tmp_path}/silver", "gold", "update")
+    for _ in range(2):  # the second round replays the same flights in new files
+        bronze_stream(spark, *bronze)
+        silver_stream(spark, *silver)
+        gold_stream(spark, *gold)
+        landing({}, {"CRSDepTime": 601})
+    (row,) = read_changes(spark, f"{tmp_path}/gold").collect()
+    assert row["flights_count"] == 2
+    assert read_batch(spark, f"{tmp_path}/silver").select(*FLIGHT_KEY).distinct().count() == 2
