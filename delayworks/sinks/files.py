@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_ON_DISK = {
+    _STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _WRITER = "__writer_of_value"
 
 
@@ -76,13 +79,15 @@ def _state_on_disk(spark: SparkSession):
     """Start queries on the RocksDB state store unless the session chose a store.
 
     Keys of a stream without a watermark pile up for ever; the default store
-    holds them on the executors' heaps.
+    holds them on the executors' heaps. With a changelog, a micro-batch uploads
+    what changed and not the whole store. A restart keeps its checkpoint's store.
     """
-    if spark.conf.get(_STATE_STORE, None) is not None:
-        yield
-        return
-    spark.conf.set(_STATE_STORE, _ROCKSDB)
+    chosen = spark.conf.get(_STATE_STORE, None) is not None
+    ours = {} if chosen else {k: v for k, v in _STATE_ON_DISK.items() if spark.conf.get(k, None) is None}
+    for key, value in ours.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_STATE_STORE)
+        for key in ours:
+            spark.conf.unset(key)

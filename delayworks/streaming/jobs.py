@@ -52,7 +52,7 @@ def silver_stream(
     output_config: Mapping,
     schema: StructType | None = None,
     clean: bool = False,
-    hot_key_splits: int = 16,
+    hot_key_splits: int = 256,
 ) -> StreamingQuery:
     """Store the first arrival of every flight, across runs of one checkpoint.
 
