@@ -102,5 +102,5 @@ def derive_flights(spark: SparkSession, tables_dir: str, keep_order: bool = Fals
         .join(origins, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(bookings, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    flights = [F.expr(sql).alias(name) for name, sql in FLIGHT_EXPRESSIONS.items()]
-    return joined.select(*flights, *(FLIGHT_ORDER if keep_order else ()))
+    flights = [f"{sql} AS `{name}`" for name, sql in FLIGHT_EXPRESSIONS.items()]
+    return joined.selectExpr(*flights, *(FLIGHT_ORDER if keep_order else ()))

@@ -15,7 +15,7 @@ def column(name: str) -> Column:
 def clamped(name: str, floor: float, dtype: DataType) -> Column:
     """The value, or ``floor`` where the value is below it. NULL and NaN pass through."""
     value = column(name)
-    return F.when(value < floor, F.lit(floor).cast(dtype)).otherwise(value)
+    return F.when(value < floor, F.lit(floor).cast(dtype.simpleString())).otherwise(value)
 
 
 def at_least(name: str, threshold: float) -> Column:

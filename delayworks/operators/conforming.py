@@ -17,14 +17,14 @@ def conform(df: DataFrame, schema: StructType, on_error: str = "fail") -> DataFr
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
     declared = {field.name: field.dataType for field in schema}
 
-    def fitted(name: str) -> Column:
-        value = column(name)
-        if name not in declared:
+    def fitted(name: str, found: DataType) -> Column:
+        value, wanted = column(name), declared.get(name, found)
+        if wanted == found:
             return value
         cast = value.cast if on_error == "fail" else value.try_cast
-        return cast(declared[name]).alias(name)
+        return cast(wanted.simpleString()).alias(name)
 
-    return df.select(*map(fitted, df.columns))
+    return df.select(*(fitted(field.name, field.dataType) for field in df.schema))
 
 
 def rescue_columns(
@@ -40,7 +40,7 @@ def rescue_columns(
     declared, rescued = [], []
     for field in schema:
         if field.name not in df.columns:
-            declared.append(F.lit(None).cast(field.dataType).alias(field.name))
+            declared.append(F.lit(None).cast(field.dataType.simpleString()).alias(field.name))
             continue
         raw, found = column(field.name), df.schema[field.name].dataType
         if found == field.dataType:
@@ -58,6 +58,5 @@ def rescue_columns(
 
 def _lenient_cast(value: Column, found: DataType, wanted: DataType) -> Column:
     """``try_cast``, by way of a string for pairs of types Spark refuses to cast."""
-    if isinstance(found, NumericType) and isinstance(wanted, NumericType):
-        return value.try_cast(wanted)
-    return value.cast("string").try_cast(wanted)
+    both_numeric = isinstance(found, NumericType) and isinstance(wanted, NumericType)
+    return (value if both_numeric else value.cast("string")).try_cast(wanted.simpleString())
