@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 _RANK = "__rank_in_key"
 _SPLIT = "__split_of_key"
+_BATCH_TIME = "__batch_time"
 
 
 def dedup(
@@ -36,23 +37,32 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key over the life of the stream: the first to arrive.
 
+    That state is never dropped. With ``event_time`` and ``delay`` it is bounded
+    by the watermark instead: copies further apart than ``delay`` may both
+    survive, and rows behind the watermark are dropped.
+
     A stateful operator has no map-side step, so every copy of a key would go
     to one task. ``hot_key_splits`` > 1 first removes copies per key and group of
     input splits, which spreads a hot key over up to that many tasks, and then
     per key, which decides. A key without copies passes both steps once, so the
     price is a second state entry per key, whatever the number of splits. 1 turns
     it off. Keep the number for the life of a checkpoint.
-
-    That state is never dropped. With ``event_time`` and ``delay`` it is bounded
-    by the watermark instead: copies further apart than ``delay`` may both
-    survive, and rows behind the watermark are dropped.
     """
     keys = list(keys)
     if (event_time is None) != (delay is None):
         raise ValueError("event_time and delay go together")
     if event_time is not None:
-        return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+        df = df.withWatermark(event_time, delay)
     if hot_key_splits > 1:
-        split = F.spark_partition_id() % hot_key_splits
-        df = df.withColumn(_SPLIT, split).dropDuplicates([*keys, _SPLIT]).drop(_SPLIT)
-    return df.dropDuplicates(keys)
+        helpers = {_SPLIT: F.spark_partition_id() % hot_key_splits}
+        if event_time is not None:
+            # Copies of one micro-batch only, so that expiry is left to the second step.
+            helpers[_BATCH_TIME] = F.current_timestamp()
+        df = _distinct(df.withColumns(helpers), [*keys, *helpers], event_time).drop(*helpers)
+    return _distinct(df, keys, event_time)
+
+
+def _distinct(df: DataFrame, keys: list[str], event_time: str | None) -> DataFrame:
+    if event_time is None:
+        return df.dropDuplicates(keys)
+    return df.dropDuplicatesWithinWatermark(keys)

@@ -77,11 +77,12 @@ class StreamOutput:
     fmt: str = "parquet"
     output_mode: str = "append"
     partition_by: tuple[str, ...] = ()
+    files_per_value: int | None = None
 
     @classmethod
     def from_config(cls, config: Mapping) -> "StreamOutput":
         """Read ``datasetOuputPath`` (so spelled), ``checkpointPath``, ``format``,
-        ``outputMode`` and ``partitionBy``."""
+        ``outputMode``, ``partitionBy`` and ``filesPerValue`` (see ``write_stream``)."""
         columns = config.get("partitionBy", ())
         return cls(
             path=config["datasetOuputPath"],
@@ -89,10 +90,17 @@ class StreamOutput:
             fmt=config.get("format", "parquet"),
             output_mode=config.get("outputMode", "append"),
             partition_by=(columns,) if isinstance(columns, str) else tuple(columns),
+            files_per_value=config.get("filesPerValue"),
         )
 
     def write(self, df: DataFrame) -> DataStreamWriter:
         """A file sink for the frame, not yet started."""
         return write_stream(
-            df, self.path, self.checkpoint, self.fmt, self.output_mode, self.partition_by
+            df,
+            self.path,
+            self.checkpoint,
+            self.fmt,
+            self.output_mode,
+            self.partition_by,
+            files_per_value=self.files_per_value,
         )

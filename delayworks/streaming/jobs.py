@@ -26,6 +26,9 @@ BRONZE_STAMPS = ("ingestion_date", "fecha")
 EVENT_TIME_COLUMN = "eventTime"
 WATERMARK_DELAY = "10 minutes"
 
+# Groups are few next to flights: a handful of writers per partition value will do.
+GOLD_FILES_PER_VALUE = 8
+
 
 def bronze_stream(
     spark: SparkSession,
@@ -80,7 +83,7 @@ def gold_stream(
     form to prefer for long streams, as it writes only what changed.
     """
     silver = StreamInput.from_config(input_config).read(spark, schema)
-    sink = StreamOutput.from_config(output_config)
+    sink = StreamOutput.from_config({"filesPerValue": GOLD_FILES_PER_VALUE, **output_config})
     if sink.output_mode == "append":
         timed = silver.withColumn(EVENT_TIME_COLUMN, flight_day_instant(event_date))
         return run_available(

@@ -72,8 +72,8 @@ def test_config_defaults_and_pass_through():
     assert StreamInput.from_config({"datasetInputPath": "/in", "format": "delta"}).fmt == "delta"
     sink = StreamOutput.from_config({"datasetOuputPath": "/out", "checkpointPath": "/c"})
     assert sink == StreamOutput("/out", "/c", "parquet", "append", ())
-    both = {"datasetOuputPath": "/out", "checkpointPath": "/c", "partitionBy": ["a", "b"]}
-    assert StreamOutput.from_config(both).partition_by == ("a", "b")
+    more = {"datasetOuputPath": "/o", "checkpointPath": "/c", "partitionBy": ["a", "b"], "filesPerValue": 4}
+    assert StreamOutput.from_config(more) == StreamOutput("/o", "/c", partition_by=("a", "b"), files_per_value=4)
 
 
 # --- sources and sinks ---
@@ -194,7 +194,8 @@ def test_hot_key_split_gives_the_same_keys(spark, tmp_path):
         assert got == sorted({r["k"] for r in rows.collect()})
 
 
-def test_bounded_dedup_forgets_after_the_delay(spark, tmp_path):
+@pytest.mark.parametrize("splits", [1, 256])
+def test_bounded_dedup_forgets_after_the_delay(spark, tmp_path, splits):
     def add(n, *times):
         spark.createDataFrame([(1, t) for t in times], "k int, t string").select(
             "k", F.col("t").cast("timestamp").alias("t"), F.lit(n).alias("n")
@@ -202,18 +203,28 @@ def test_bounded_dedup_forgets_after_the_delay(spark, tmp_path):
 
     def run():
         stream = read_stream(spark, f"{tmp_path}/in", "k int, t timestamp, n int")
-        kept = dedup_stream(stream, ["k"], event_time="t", delay="1 hour")
+        kept = dedup_stream(stream, ["k"], event_time="t", delay="1 hour", hot_key_splits=splits)
+        assert kept.columns == ["k", "t", "n"]
         run_available(spark, write_stream(kept, f"{tmp_path}/o", f"{tmp_path}/c"))
-        return read_batch(spark, f"{tmp_path}/o").count()
+
+    def sources():
+        return sorted(r["n"] for r in read_batch(spark, f"{tmp_path}/o").collect())
 
     add(1, "2024-01-01 00:00:00", "2024-01-01 00:30:00")
-    assert run() == 1
-    add(2, "2024-01-01 00:50:00")
-    assert run() == 1
-    add(3, "2024-01-01 09:00:00")
     run()
-    add(4, "2024-01-01 12:00:00")
-    assert run() >= 2
+    assert sources() == [1]
+    add(2, "2024-01-01 00:50:00")  # within the delay
+    run()
+    assert sources() == [1]
+    add(3, "2024-01-01 09:00:00")  # the key is still known, the watermark moves past its expiry
+    run()
+    assert sources() == [1]
+    add(4, "2024-01-01 12:00:00")  # forgotten by now
+    run()
+    assert sources() == [1, 4]
+    add(5, "2024-01-01 03:00:00")  # behind the watermark
+    run()
+    assert sources() == [1, 4]
 
 
 def test_event_time_needs_a_delay(spark):
