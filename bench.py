@@ -10,11 +10,13 @@ queries start from landed Parquet files, written before the clock starts.
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from checks.queries import QUERIES, landed
+from delayworks.scratch import set_scratch
 
 HEADLINE = (
     "silver_transform",
@@ -51,6 +53,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    set_scratch(spark, tempfile.mkdtemp(prefix="bench-"))
     for kind in ("flights", "ordered", "unique"):
         landed(spark, sf_dir, kind)
     runs = {name: [timed(spark, sf_dir, name) for _ in range(RUNS)] for name in HEADLINE}

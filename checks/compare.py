@@ -1,6 +1,7 @@
 """Compare the registered queries with their SQL: python -m checks.compare [sf_dir] [name ...]."""
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracles import ORACLE_SQL
 from checks.queries import QUERIES
+from delayworks.scratch import set_scratch
 
 
 def sql_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
@@ -53,6 +55,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    set_scratch(spark, tempfile.mkdtemp(prefix="compare-"))
     failed = 0
     for name in names or QUERIES:
         start = time.time()
