@@ -5,8 +5,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delayworks.llm.bloom_cascade import judge
+from delayworks.llm.line_frequency import verdicts
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.tables import table
+from delayworks.llm.water_filling import repetitions, word_count
+
+URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
+#: Hosts that the method blocks where no rule fits: the known spam names under each domain.
+SPAM_HOSTS = [
+    f"{name}.example.{top}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+]
+
+
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = verdicts(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & ~F.col("depleted")).alias("kept"),
+        "boilerplate_words",
+    )
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +45,29 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ruled = judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    ruled = ruled.withColumnsRenamed({"rule": "fits", "list": "ruling"})
+    listed = judge(ruled, {"block": SPAM_HOSTS})
+    verdict = F.coalesce("ruling", "list", F.lit("allow"))
+    return listed.select("page_id", "host", "path", F.col("fits").alias("rule"), verdict.alias("verdict"))
+
+
+def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("words"))
+    mixed = repetitions(documents, F.col("words"))
+    return mixed.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_times")).alias("taken"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_frequency": op2_line_frequency,
     "op5_simhash": op5_simhash,
+    "op6_bloom_cascade": op6_bloom_cascade,
+    "op10_water_filling": op10_water_filling,
 }
