@@ -7,29 +7,29 @@ WITH texts AS (
     SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents
 ), words AS (
     SELECT row, unnest(regexp_extract_all(text, '{WORD}')) AS word,
-        generate_subscripts(regexp_extract_all(text, '{WORD}'), 1) AS at
+        generate_subscripts(regexp_extract_all(text, '{WORD}'), 1) AS pos
     FROM texts
 ), counted AS (
     SELECT row, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY row
 ), windows AS (
-    SELECT row, at, word AS a, lead(word, 1) OVER w AS b, lead(word, 2) OVER w AS c
-    FROM words WINDOW w AS (PARTITION BY row ORDER BY at)
+    SELECT row, pos, word AS a, lead(word, 1) OVER w AS b, lead(word, 2) OVER w AS c
+    FROM words WINDOW w AS (PARTITION BY row ORDER BY pos)
 ), found AS (
-    SELECT row, at FROM windows WHERE c IS NOT NULL
+    SELECT row, pos FROM windows WHERE c IS NOT NULL
     QUALIFY count(*) OVER (PARTITION BY row, a, b, c) > 1
 ), covered AS (
-    SELECT row, count(DISTINCT at + k) AS n_repeat_words FROM found, (VALUES (0), (1), (2)) AS t(k) GROUP BY row
+    SELECT row, count(DISTINCT pos + k) AS n_repeat_words FROM found, (VALUES (0), (1), (2)) AS t(k) GROUP BY row
 ), lines AS (
-    SELECT row, source, text, line, at, len(regexp_extract_all(line, '{WORD}')) AS n_words,
+    SELECT row, source, text, line, pos, len(regexp_extract_all(line, '{WORD}')) AS n_words,
         trim(regexp_replace(regexp_replace(lower(line), '\p{{Nd}}', '0', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS plain
     FROM (
         SELECT row, source, text, unnest(string_split(text, chr(10))) AS line,
-            generate_subscripts(string_split(text, chr(10)), 1) AS at
+            generate_subscripts(string_split(text, chr(10)), 1) AS pos
         FROM texts
     )
 ), repeated AS (
     SELECT row, count(*) AS n_dup_lines FROM (
-        SELECT row FROM lines WHERE n_words > 0 QUALIFY row_number() OVER (PARTITION BY row, line ORDER BY at) > 1
+        SELECT row FROM lines WHERE n_words > 0 QUALIFY row_number() OVER (PARTITION BY row, line ORDER BY pos) > 1
     ) GROUP BY row
 ), hosts AS (
     SELECT source, count(DISTINCT text) AS n FROM texts GROUP BY source

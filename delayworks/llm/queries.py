@@ -5,9 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delayworks.llm import subword_classifier, weak_toxicity
 from delayworks.llm.bloom_cascade import judge
 from delayworks.llm.line_frequency import verdicts
 from delayworks.llm.simhash import near_groups
+from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
 from delayworks.llm.tables import table
 from delayworks.llm.water_filling import repetitions, word_count
 
@@ -53,6 +55,25 @@ def op6_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("page_id", "host", "path", F.col("fits").alias("rule"), verdict.alias("verdict"))
 
 
+def _judged(spark: SparkSession, sf_dir: str, model, threshold: float) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), model).select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality")
+    return _judged(spark, sf_dir, subword_classifier.train(list(rows["text"]), list(rows["label"])), 0.7)
+
+
+def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = weak_toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return _judged(spark, sf_dir, model, 0.3)
+
+
 def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("words"))
     mixed = repetitions(documents, F.col("words"))
@@ -69,5 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op5_simhash": op5_simhash,
     "op6_bloom_cascade": op6_bloom_cascade,
+    "op7_subword_quality": op7_subword_quality,
+    "op9_weak_toxicity": op9_weak_toxicity,
     "op10_water_filling": op10_water_filling,
 }
