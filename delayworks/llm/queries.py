@@ -2,12 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayworks.llm import subword_classifier, weak_toxicity
 from delayworks.llm.bloom_cascade import judge
+from delayworks.llm.bpe import Tokenizer, encoded
 from delayworks.llm.line_frequency import verdicts
+from delayworks.llm.main_text import labelled_pages, learn, main_text
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
 from delayworks.llm.tables import table
@@ -38,6 +41,12 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = main_text(pages, learn(labelled_pages(pages)))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -69,6 +78,12 @@ def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir, subword_classifier.train(list(rows["text"]), list(rows["label"])), 0.7)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
+    bpe = Tokenizer.load(public_tokenizers.path(tokenizer))
+    rows = encoded(table(spark, sf_dir, "documents"), bpe, with_ids=False)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = weak_toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return _judged(spark, sf_dir, model, 0.3)
@@ -88,9 +103,11 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
+    "op4_main_text": op4_main_text,
     "op5_simhash": op5_simhash,
     "op6_bloom_cascade": op6_bloom_cascade,
     "op7_subword_quality": op7_subword_quality,
+    "op8_bpe": op8_bpe,
     "op9_weak_toxicity": op9_weak_toxicity,
     "op10_water_filling": op10_water_filling,
 }
