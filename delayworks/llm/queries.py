@@ -11,6 +11,7 @@ from delayworks.llm.bloom_cascade import judge
 from delayworks.llm.bpe import Tokenizer, encoded
 from delayworks.llm.line_frequency import verdicts
 from delayworks.llm.main_text import labelled_pages, learn, main_text
+from delayworks.llm.rp_forest import near_vectors
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
 from delayworks.llm.tables import table
@@ -25,6 +26,14 @@ SPAM_HOSTS = [
 ]
 
 
+def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_vectors(table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(False))
+    return rows.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept")
+    )
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = verdicts(table(spark, sf_dir, "documents"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -102,6 +111,7 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_projection_forest": op1_projection_forest,
     "op2_line_frequency": op2_line_frequency,
     "op4_main_text": op4_main_text,
     "op5_simhash": op5_simhash,
