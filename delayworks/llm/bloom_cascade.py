@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayworks.llm.tables import ship, stored
+from delayworks.llm.tables import free_name, ship, stored
 
 MAX_BITS = 1 << 29
 BASE = ("h1", "h2")
@@ -150,8 +150,9 @@ def judge(
     labels = max((k.split("/")[0].count(".") + 1 for k in every), default=1)
     lengths = sorted({len(k) - len(k.split("/")[0]) for k in every}) or [0]
     columns = {"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}
-    judged = pages.withColumns(columns).withColumn("__keys", rule_keys(F.col("host"), F.col("path"), labels, lengths))
-    universe = stored(judged.select(F.explode("__keys").alias("key")).distinct(), "keys")
+    held, hit = free_name(pages, "url_keys"), free_name(pages, "url_hit")
+    judged = pages.withColumns(columns).withColumn(held, rule_keys(F.col("host"), F.col("path"), labels, lengths))
+    universe = stored(judged.select(F.explode(held).alias("key")).distinct(), "keys")
     cascades = {name: Cascade(universe, spark.createDataFrame([(k,) for k in keys], "key string"), rate) for name, keys in lists.items()}
 
     @F.pandas_udf("struct<at int, list string>")
@@ -168,7 +169,7 @@ def judge(
             best[nearer], which[nearer] = least[nearer], name
         return pd.DataFrame({"at": np.where(best > len(a), -1, best).astype(np.int32), "list": which})
 
-    hashes = [F.transform("__keys", lambda k: base_hashes(k)[0]), F.transform("__keys", lambda k: base_hashes(k)[1])]
-    found = judged.withColumn("__found", first(*hashes))
-    rule = F.get("__keys", F.when(F.col("__found.at") >= 0, F.col("__found.at")))
-    return found.withColumns({"rule": rule, "list": F.col("__found.list")}).drop("__keys", "__found")
+    hashes = [F.transform(held, lambda k: base_hashes(k)[0]), F.transform(held, lambda k: base_hashes(k)[1])]
+    found = judged.withColumn(hit, first(*hashes))
+    rule = F.get(held, F.when(F.col(hit)["at"] >= 0, F.col(hit)["at"]))
+    return found.withColumns({"rule": rule, "list": F.col(hit)["list"]}).drop(held, hit)

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from delayworks.llm.main_text import labelled_pages, learn, main_text
 from delayworks.llm.rp_forest import near_vectors
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
+from delayworks.llm.surrogates import pseudonymised
 from delayworks.llm.tables import table
 from delayworks.llm.water_filling import repetitions, word_count
 
@@ -50,6 +52,11 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str, key: str = "surrogate-key") -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymised(documents, key, count_col="n_entities")
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     texts = main_text(pages, learn(labelled_pages(pages)))
@@ -113,6 +120,7 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_projection_forest": op1_projection_forest,
     "op2_line_frequency": op2_line_frequency,
+    "op3_surrogates": op3_surrogates,
     "op4_main_text": op4_main_text,
     "op5_simhash": op5_simhash,
     "op6_bloom_cascade": op6_bloom_cascade,
@@ -120,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_weak_toxicity": op9_weak_toxicity,
     "op10_water_filling": op10_water_filling,
+    "pipeline": corpus_pipeline.run,
 }

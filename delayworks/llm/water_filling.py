@@ -80,33 +80,42 @@ def plan(
 
 
 def repetitions(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", seed: int = 42, **how) -> DataFrame:
-    """The rows with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_times``.
+    """The rows with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_times``, which replace columns of these names.
 
     Rows with one id are taken or left together. Sources are broadcast while they are few enough;
     beyond that they are joined by a shuffle, which Spark splits at hot sources.
     """
-    bucket = hash_bucket(id_col, seed)
-    source = F.col(source_col).cast("string")
-    sources = stored(plan(df.select(source.alias("source"), bucket.alias("bucket"), size.alias("size")), **how), "plan")
-    named = sources.select(
-        F.col("source").alias("mix_source"),
-        F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"),
-        F.col("whole").alias("mix_whole"),
-        F.col("extra").alias("mix_extra"),
+    key = F.col(source_col).cast("string")
+    rows = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        key.alias("source"),
+        hash_bucket(id_col, seed).alias("bucket"),
+        size.alias("size"),
     )
+    sources = stored(plan(rows.select("source", "bucket", "size"), **how), "plan")
+    named = sources.withColumnRenamed("source", "of")
     if sources.count() <= BROADCAST_SOURCES:
         named = F.broadcast(named)
-    times = F.col("mix_whole") + F.when(bucket < F.col("mix_extra"), 1).otherwise(0)
-    return (
-        df.join(named, source.eqNullSafe(F.col("mix_source")))
-        .withColumns({"mix_size": size, "mix_times": times.cast("long")})
-        .drop("mix_source", "mix_whole", "mix_extra")
-    )
+    times = F.col("whole") + F.when(F.col("bucket") < F.col("extra"), 1).otherwise(0)
+    made = {
+        "mix_size": F.col("size"),
+        "mix_source_size": F.col("source_size"),
+        "mix_target": F.col("target"),
+        "mix_times": times.cast("long"),
+    }
+    joined = rows.join(named, F.col("source").eqNullSafe(F.col("of")))
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c not in made]
+    return joined.select(*kept, *(column.alias(name) for name, column in made.items()))
 
 
 def mixed(df: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The documents of the mix, as often as it takes them; same columns."""
-    counted = repetitions(df, word_count(text_col), **how)
+    packed = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        F.col(how.pop("id_col", "doc_id")).alias("id"),
+        F.col(how.pop("source_col", "source")).alias("source"),
+        word_count(text_col).alias("size"),
+    )
+    counted = repetitions(packed, F.col("size"), id_col="id", source_col="source", **how)
     copies = F.array_repeat(F.lit(1), F.col("mix_times").cast("int"))
-    return counted.withColumn("mix_copy", F.explode(copies)).select(df.columns)
+    return counted.select("row", F.explode(copies)).select("row.*")

@@ -13,10 +13,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delayworks.llm.subword_classifier import labelled_sample, scored
+from delayworks.llm.subword_classifier import labelled_sample
+from delayworks.llm.tables import ship
 
 SAMPLE = 6_000
 VOTERS = 64
@@ -209,8 +211,7 @@ def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.3, te
 
 
 def _score_udf(documents: DataFrame, model: Model):
-    import pandas as pd
-
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -218,8 +219,3 @@ def _score_udf(documents: DataFrame, model: Model):
         return pd.Series(shared.value.scores(texts))
 
     return score
-
-
-def toxicity(documents: DataFrame, model: Model) -> DataFrame:
-    """Per row (id, score)."""
-    return scored(documents, model)
