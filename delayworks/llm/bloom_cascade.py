@@ -107,6 +107,20 @@ def _passing(level: Level):
     return passes
 
 
+def split_by(df: DataFrame, column: str, keys: DataFrame, key: str = "id", rate: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """The rows whose value may be among the keys, and those whose value surely isn't.
+
+    Only the first need to be joined, so wide rows outside of a small key set aren't shuffled. With
+    more keys than a filter holds, all rows may be.
+    """
+    ship(df.sparkSession)
+    if keys.count() * -log(rate) / log(2) ** 2 >= MAX_BITS:
+        return df, df.limit(0)
+    filled = _passing(Level(0, keys.select(*base_hashes(F.col(key).cast("string"))), rate))
+    passes = F.coalesce(filled(*base_hashes(F.col(column).cast("string"))), F.lit(False))
+    return df.where(passes), df.where(~passes)
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty without one."""
     host = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)

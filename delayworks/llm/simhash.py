@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delayworks.llm.bloom_cascade import split_by
 from delayworks.llm.components import components, forest, merge_labels
 from delayworks.llm.tables import ship, stored
 
@@ -262,23 +263,93 @@ def near_groups(
 
 
 #: For shingle sets at a Jaccard similarity of 0.8: fingerprints differ in 15% of 256 bits, with a
-#: deviation of 6 bits; 32 bands of 14 bits find 97% of such pairs, and more of nearer ones.
-SIMILAR = {"words": 5, "lanes": 4, "radius": 50, "bands": sampled_bands(4, 32), "repeats": False}
+#: deviation of 6 bits; 40 bands of 14 bits find 98% of such pairs, and more of nearer ones.
+SIMILAR = {"words": 5, "lanes": 4, "radius": 58, "bands": sampled_bands(4, 40), "repeats": False}
+TILE = 256
+CELLS_AT_ONCE = 1 << 22
 
 
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar(sets: Sequence[np.ndarray], one: np.ndarray, other: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i of ``one``, j of ``other``) of sets whose Jaccard similarity is ``least`` or more.
+
+    Sets are rows of a table of 0 and 1, one column a shingle; common shingles come from its product
+    with itself, some columns at a time.
+    """
+    sizes = np.array([len(s) for s in sets])
+    which = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)]), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(which, kind="stable")
+    which, row = which[order], row[order]
+    common = np.zeros((len(one), len(other)), np.float32)
+    step = max(1, CELLS_AT_ONCE // len(sets))
+    last = int(which[-1]) + 1 if len(which) else 0
+    for at in range(0, last, step):
+        low, high = np.searchsorted(which, (at, at + step))
+        table = np.zeros((len(sets), step), np.float32)
+        table[row[low:high], which[low:high] - at] = 1
+        common += table[one] @ table[other].T
+    either = sizes[one][:, None] + sizes[other][None, :] - common
+    i, j = np.nonzero((common >= least * either - 1e-3) & (either > 0))
+    exact = common[i, j].astype(np.float64) >= least * either[i, j].astype(np.float64)
+    return one[i[exact]], other[j[exact]]
+
+
+def verified_links(df: DataFrame, loose: DataFrame, words: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) that join the similar texts of each loose group; ``loose`` has (id, component).
+
+    A group is compared tile by tile, so no task holds more than two tiles; texts outside of
+    groups aren't moved.
+    """
+    sizes = loose.groupBy("component").count().where("count > 1")
+    members = loose.join(sizes, "component").select("id", "component", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
+    members = stored(members, "members")
+    named = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = split_by(named, "id", members)[0].join(members, "id").groupBy("id", "component", "tiles").agg(F.min("text").alias("text"))
+
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_hashes(t, words, False).view(np.int64) for t in batch.pop("text")]
+            yield batch.assign(shingles=sets)
+
+    schema = "id long, component long, tiles int, shingles array<long>"
+    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    cells = (
+        texts.mapInPandas(shingled, schema)
+        .select("id", "component", "shingles", tile.alias("tile"), other.alias("other"))
+        .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
+    )
+
+    def of_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        ids, at = rows["id"].to_numpy(), rows["tile"].to_numpy()
+        one, other = np.flatnonzero(at == key[1]), np.flatnonzero(at == key[2])
+        i, j = similar(list(rows["shingles"]), one, other, least)
+        a, b = forest(ids[i], ids[j])
+        return pd.DataFrame({"a": a, "b": b})
+
+    return cells.drop("other").groupBy("component", "low", "high").applyInPandas(of_cell, "a long, b long")
+
+
+def drop_near_copies(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of near copies, all columns: the one with the smallest id.
 
-    Groups are chains of texts whose sets of five-word shingles have an estimated similarity of
-    0.8 or more. Rows with a NULL id stay. Of rows with one id, one stays.
+    Groups are chains of texts whose sets of five-word shingles have a Jaccard similarity of ``least``
+    or more: the index proposes, the sets decide. Texts without words are copies of each other. Rows
+    with a NULL id stay. Of rows with one id, one stays.
     """
-    groups = stored(near_groups(df.select(id_col, text_col), id_col=id_col, text_col=text_col, **SIMILAR), "groups")
-    named = groups.where("id is not null")
-    rows = named.groupBy("id").agg(F.count("*").alias("n"), F.min("component").alias("component"))
-    lost = stored(rows.where("component <> id").select(F.col("id").alias(id_col)), "lost")
-    repeated = stored(rows.where("component = id and n > 1").select(F.col("id").alias(id_col)), "repeated")
-    kept = df.join(lost, id_col, "left_anti")
+    names = [*_lanes(SIMILAR["lanes"]), "rank"]
+    groups = near_groups(df.select(id_col, text_col), id_col=id_col, text_col=text_col, **SIMILAR)
+    groups = stored(groups.where("id is not null"), "groups")
+    distinct = stored(groups.groupBy(*names).agg(F.min("id").alias("id"), F.min("component").alias("component")), "distinct")
+    links = verified_links(df, distinct.select("id", "component"), SIMILAR["words"], least, id_col, text_col)
+    linked = components(links).withColumnRenamed("component", "root")
+    classes = stored(distinct.join(linked, "id", "left").select(*names, F.coalesce("root", "id").alias("root")), "classes")
+    rows = groups.join(classes, names).groupBy("id").agg(F.count("*").alias("n"), F.min("root").alias("root"))
+    rows = stored(rows.where("root <> id or n > 1"), "copies")
+    repeated = stored(rows.where("root = id").select(F.col("id").alias(id_col)), "repeated")
+    maybe, kept = split_by(df, id_col, rows)
+    kept = kept.union(maybe.join(rows.select(F.col("id").alias(id_col)), id_col, "left_anti").select(df.columns))
     if repeated.isEmpty():
-        return kept.select(df.columns)
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").select(df.columns).union(once.select(df.columns))
+        return kept
+    once = maybe.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.union(once.select(df.columns))
