@@ -1,14 +1,30 @@
 """SQL that gives the same rows as the registered queries, for DuckDB."""
 
 from delayworks.fixtures import FLIGHT_EXPRESSIONS, FLIGHT_ORDER
-from delayworks.schema import (
-    CLEANED_MEASURES,
-    DAILY_ROUTE_KEY,
-    FLIGHT_KEY,
-    FLIGHT_SCHEMA,
-    MONTHLY_CARRIER_KEY,
-    ROUTE_CARRIER_KEY,
+from delayworks.schema import FLIGHT_SCHEMA
+
+# Fixed values, written out so that the SQL doesn't follow the code that it checks.
+FLIGHT_KEY = ("FlightDate", "Marketing_Airline_Network", "OriginCityName", "DestCityName", "CRSDepTime")
+CLEANED_MEASURES = (
+    "DepDelay",
+    "DepDelayMinutes",
+    "TaxiOut",
+    "TaxiIn",
+    "ArrDelay",
+    "ArrDelayMinutes",
+    "CRSElapsedTime",
+    "ActualElapsedTime",
+    "AirTime",
+    "Distance",
+    "CarrierDelay",
+    "WeatherDelay",
+    "NASDelay",
+    "SecurityDelay",
+    "LateAircraftDelay",
 )
+DAILY_ROUTE_KEY = ("Year", "Month", "DayofMonth", "OriginCityName", "DestCityName")
+MONTHLY_CARRIER_KEY = ("Year", "Month", "Marketing_Airline_Network")
+ROUTE_CARRIER_KEY = ("OriginCityName", "DestCityName", "Marketing_Airline_Network")
 
 RUN_DATE_SQL = "DATE '2024-03-15'"
 
@@ -137,7 +153,11 @@ _DECLARED = f"CAST(NULL AS DATE) AS {FLIGHT_SCHEMA.names[0]}, "
 
 ORACLE_SQL = {
     "stamp_ingestion": _BRONZE,
-    "stamp_arrival_time": f'{_FLIGHTS} SELECT {_KEY}, true AS stamped_once FROM flights',
+    "stamp_arrival_time": f"""{_FLIGHTS}
+  SELECT count(*) AS row_count, count(*) AS stamped, 'timestamp' AS stamp_type, true AS one_per_batch FROM flights""",
+    "stamp_today": f"""{_FLIGHTS}
+  SELECT count(*) AS row_count, 1::BIGINT AS days, 'date' AS stamp_type, true AS is_today FROM flights""",
+    "ignore_missing_files": f"{_FLIGHTS} SELECT {_COLUMNS} FROM flights WHERE l_linenumber > 1",
     "conform": _ALL_FLIGHTS,
     "conform_null_on_error": f"{_DAMAGED} SELECT {_COLUMNS} FROM damaged",
     "fill_nulls": f"""{_FLIGHTS} SELECT {_replaced(lambda c: f'COALESCE("{c}", 0)')} FROM flights""",
@@ -174,6 +194,8 @@ ORACLE_SQL = {
   UNION ALL SELECT 'after' AS stage, count(*) AS rows FROM silver""",
     "dated_path_roundtrip": _ALL_FLIGHTS,
     "partitioned_roundtrip": _GOLD_DAILY,
+    "partition_value_kept": f"""{_FLIGHTS}
+  SELECT lpad(("CRSDepTime" // 60)::VARCHAR, 3, '0') AS hour_code, count(*) AS flights FROM flights GROUP BY 1""",
     "bronze_batch": _BRONZE,
     "silver_batch": (
         f"{_SILVER} SELECT {RUN_DATE_SQL} AS ingestion_date, silver.* FROM silver"
@@ -182,12 +204,22 @@ ORACLE_SQL = {
     "gold_batch_monthly_carrier": _GOLD_MONTHLY,
     "gold_batch_route_performance": _GOLD_ROUTE,
     "bronze_stream": _BRONZE_STREAM,
+    "bronze_stream_backfill": _BRONZE_STREAM,
+    "bronze_stream_drift": f"""{_FLIGHTS} SELECT {RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha,
+  {_replaced(lambda c: f'CASE WHEN l_linenumber % 3 = 2 AND {_BAD_DISTANCE} THEN NULL ELSE "{c}" END', ("Distance",))},
+  CASE WHEN l_linenumber % 3 = 1 THEN '{{"surprise":"more"}}'
+    WHEN l_linenumber % 3 = 2 AND {_BAD_DISTANCE} THEN '{{"Distance":"far"}}' END AS _rescued_data
+  FROM flights""",
     "bronze_stream_rescued": _RESCUED.format(
         stamps=f"{RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha, "
     ),
     "silver_stream": _DISTINCT_KEYS,
     "silver_stream_bounded": _DISTINCT_KEYS,
     "silver_stream_clean": _SILVER_ROWS,
+    "gold_stream_append": _GOLD_DAILY_UNCLEANED,
+    "gold_stream_compacted": f"""{_UNIQUE}, daily AS (
+    {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}
+  ) SELECT *, unnest(['append', 'update']) AS form FROM daily""",
     "gold_stream_snapshot": _GOLD_DAILY_UNCLEANED,
     "gold_stream_changes": _GOLD_DAILY_UNCLEANED,
     "gold_stream_event_time": f"""{_UNIQUE} {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}

@@ -4,21 +4,22 @@ Jobs write below ``scratch_dir`` and the query reads back what they stored.
 """
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from delayworks.fixtures import FLIGHT_EXPRESSIONS, FLIGHT_ORDER, derive_flights
-from delayworks.functions import flight_day_instant, is_late, overall_delay, percent
+from delayworks.functions import is_late, overall_delay, percent
 from delayworks.operators import (
     clamp_min,
     conform,
     dedup,
-    dedup_stream,
     fill_nulls,
     flag_at_least,
-    profile_counts,
+    profile_step,
     rescue_columns,
     stamp_arrival_time,
     stamp_ingestion,
@@ -44,9 +45,13 @@ from delayworks.sinks import run_available, write_batch, write_stream
 from delayworks.sources import dated_path, infer_stream_schema, read_batch, read_stream
 from delayworks.streaming import (
     bronze_stream,
+    compact_changes,
+    compact_totals,
     gold_stream,
+    read_bronze,
     read_changes,
     read_snapshot,
+    read_totals,
     silver_stream,
 )
 
@@ -87,6 +92,15 @@ def _as_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights.select(*(F.col(c).cast("string").alias(c) for c in _RAW))
 
 
+FILES = 8
+BATCHES = 4
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows in so many files, every file with rows of all dates."""
+    return df.repartition(FILES)
+
+
 _LANDINGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flights": derive_flights,
     "ordered": lambda spark, sf_dir: derive_flights(spark, sf_dir, keep_order=True),
@@ -100,15 +114,39 @@ def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _LANDED:
         path = scratch_dir(spark, f"landing-{kind}")
-        write_batch(_LANDINGS[kind](spark, sf_dir), path)
+        write_batch(_spread(_LANDINGS[kind](spark, sf_dir)), path)
         _LANDED[key] = path
     return _LANDED[key]
 
 
+def landed_by_year(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """A file per year, the years in order: for streams that a watermark bounds."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"{kind}-by-year")
+    if key not in _LANDED:
+        path, flights = scratch_dir(spark, f"landing-{kind}-years"), read_batch(spark, landed(spark, sf_dir, kind))
+        for (year,) in sorted(flights.select("Year").distinct().collect()):
+            write_batch(flights.where(F.col("Year") == year).coalesce(1), path, mode="append")
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def many(query: StreamingQuery, batches: int = BATCHES) -> StreamingQuery:
+    """The query, which must have taken rows in so many micro-batches at least."""
+    taken = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    if taken < batches:
+        raise AssertionError(f"{taken} micro-batches with rows, {batches} expected")
+    return query
+
+
 def _stream_config(
-    source: str, folder: str, output_mode: str = "append", rescue_column: str | None = None, **output
+    source: str,
+    folder: str,
+    output_mode: str = "append",
+    rescue_column: str | None = None,
+    file_cap: int = 2,
+    **output,
 ) -> tuple[dict, dict]:
-    options = {"cloudFiles.format": "parquet"}
+    options = {"cloudFiles.format": "parquet", "cloudFiles.maxFilesPerTrigger": str(file_cap)}
     if rescue_column:
         options["cloudFiles.rescuedDataColumn"] = rescue_column
     return (
@@ -131,12 +169,46 @@ def q_stamp_ingestion(spark, sf_dir):
 
 
 def q_stamp_arrival_time(spark, sf_dir):
-    stamped = stamp_arrival_time(derive_flights(spark, sf_dir))
-    return stamped.select(
-        *FLIGHT_KEY, (F.col("eventTime") == F.current_timestamp()).alias("stamped_once")
+    """Arrival times as a stream stores them: a timestamp in every row, one per micro-batch."""
+    folder, path = scratch_dir(spark, "arrival"), landed(spark, sf_dir, "flights")
+    schema = infer_stream_schema(spark, path)
+    stream = stamp_arrival_time(read_stream(spark, path, schema, max_files_per_trigger=2))
+    query = many(run_available(spark, write_stream(stream, f"{folder}/table", f"{folder}/checkpoint")))
+    batches = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    return read_batch(spark, f"{folder}/table").agg(
+        F.count("*").alias("row_count"),
+        F.count("eventTime").alias("stamped"),
+        F.max(F.typeof("eventTime")).alias("stamp_type"),
+        (F.count_distinct("eventTime") == batches).alias("one_per_batch"),
     )
 
 
+def q_stamp_today(spark, sf_dir):
+    """Stored flights stamped by Spark's own date: the day of the run, as the client sees it."""
+    folder, before = scratch_dir(spark, "today"), datetime.now(timezone.utc).date()
+    write_batch(stamp_ingestion(derive_flights(spark, sf_dir)), folder)
+    days = [before - timedelta(days=1), before, datetime.now(timezone.utc).date() + timedelta(days=1)]
+    return read_batch(spark, folder).agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("ingestion_date").alias("days"),
+        F.max(F.typeof("ingestion_date")).alias("stamp_type"),
+        F.min(F.col("ingestion_date").isin(days)).alias("is_today"),
+    )
+
+
+def q_ignore_missing_files(spark, sf_dir):
+    """Flights of line numbers above 1: the folder of the others goes after the read was planned."""
+    folder = scratch_dir(spark, "missing")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    paths = [f"{folder}/first", f"{folder}/rest"]
+    for path, chosen in zip(paths, (F.col("l_linenumber") == 1, F.col("l_linenumber") > 1)):
+        write_batch(flights.where(chosen).select(*_RAW), path)
+    planned = read_batch(spark, paths, ignore_missing_files=True)
+    gone = spark._jvm.org.apache.hadoop.fs.Path(paths[0])
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return planned
+
+
 def q_conform(spark, sf_dir):
     return conform(_as_strings(spark, sf_dir), FLIGHT_SCHEMA)
 
@@ -194,7 +266,9 @@ def q_dedup_any_row(spark, sf_dir):
 
 
 def q_profile_counts(spark, sf_dir):
-    return profile_counts(derive_flights(spark, sf_dir), _silver(spark, sf_dir))
+    path = scratch_dir(spark, "profile")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    return profile_step(flights, lambda f: silver_transform(f, FLIGHT_ORDER), lambda f: write_batch(f, path))
 
 
 # --- plans ------------------------------------------------------------------
@@ -223,8 +297,19 @@ def q_dated_path_roundtrip(spark, sf_dir):
 
 def q_partitioned_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "partitioned")
-    write_batch(gold_daily_route(_silver(spark, sf_dir)), path, partition_by=["OriginCityName"])
-    return read_batch(spark, path)
+    daily = gold_daily_route(_silver(spark, sf_dir))
+    write_batch(daily, path, partition_by=["OriginCityName"])
+    return read_batch(spark, path, schema=daily.schema)
+
+
+def q_partition_value_kept(spark, sf_dir):
+    """Partition values that look like numbers read back as the strings they were."""
+    path = scratch_dir(spark, "padded")
+    code = F.lpad((F.col("CRSDepTime") / 60).cast("int").cast("string"), 3, "0")
+    daily = derive_flights(spark, sf_dir).groupBy(code.alias("hour_code")).agg(F.count("*").alias("flights"))
+    write_batch(daily, path, partition_by=["hour_code"])
+    schema = StructType([StructField("flights", daily.schema["flights"].dataType), StructField("hour_code", StringType())])
+    return read_batch(spark, path, schema=schema)
 
 
 def q_bronze_batch(spark, sf_dir):
@@ -258,64 +343,124 @@ def _gold_job(kind: str):
 # --- streaming jobs ---------------------------------------------------------
 
 
+def _add_files(df: DataFrame, path: str) -> None:
+    write_batch(_spread(df), path, mode="append")
+
+
+def _set_age(spark: SparkSession, path: str, days: int) -> None:
+    """Set the files of a folder back in time."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    when = int(datetime.now(timezone.utc).timestamp() * 1000) - days * 86_400_000
+    for status in files.listStatus(folder):
+        files.setTimes(status.getPath(), when, -1)
+
+
 def q_bronze_stream(spark, sf_dir):
     folder = scratch_dir(spark, "bronze-stream")
-    source, sink = _stream_config(landed(spark, sf_dir, "flights"), folder)
-    source["autoloaderOptions"]["cloudFiles.maxFilesPerTrigger"] = "100"
-    bronze_stream(spark, source, sink, run_date=RUN_DATE)
+    many(bronze_stream(spark, *_stream_config(landed(spark, sf_dir, "flights"), folder), run_date=RUN_DATE))
+    return read_batch(spark, f"{folder}/table")
+
+
+def q_bronze_stream_backfill(spark, sf_dir):
+    """The second run's files are a month older than those of the first."""
+    folder = scratch_dir(spark, "bronze-backfill")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    parts = [flights.where(chosen).select(*_RAW) for chosen in ("l_linenumber % 2 = 1", "l_linenumber % 2 = 0")]
+    job = _stream_config(f"{folder}/in/*", folder)
+    for number, part in enumerate(parts):
+        write_batch(_spread(part), f"{folder}/in/{number}")
+        _set_age(spark, f"{folder}/in/{number}", 30 * number)
+        many(bronze_stream(spark, *job, run_date=RUN_DATE))
     return read_batch(spark, f"{folder}/table")
 
 
 def q_bronze_stream_rescued(spark, sf_dir):
     folder = scratch_dir(spark, "bronze-stream-rescued")
-    source, sink = _stream_config(
-        landed(spark, sf_dir, "damaged"), folder, rescue_column="_rescued_data"
-    )
-    bronze_stream(spark, source, sink, run_date=RUN_DATE)
+    job = _stream_config(landed(spark, sf_dir, "damaged"), folder, rescue_column="_rescued_data")
+    many(bronze_stream(spark, *job, run_date=RUN_DATE))
     return read_batch(spark, f"{folder}/table")
 
 
+def q_bronze_stream_drift(spark, sf_dir):
+    """Files of three shapes: as declared, with one more column, with distances as strings."""
+    folder = scratch_dir(spark, "bronze-drift")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    far = F.when(F.col("l_orderkey") % 23 == 0, "far").otherwise(F.col("Distance").cast("string"))
+    shapes = (
+        flights.where("l_linenumber % 3 = 0").select(*_RAW),
+        flights.where("l_linenumber % 3 = 1").select(*_RAW, F.lit("more").alias("surprise")),
+        flights.where("l_linenumber % 3 = 2").withColumn("Distance", far).select(*_RAW),
+    )
+    for shape in shapes:
+        write_batch(shape.repartition(3), f"{folder}/in", mode="append")
+    job = _stream_config(f"{folder}/in", folder, rescue_column="_rescued_data")
+    many(bronze_stream(spark, *job, run_date=RUN_DATE, by_file_schema=True))
+    return read_bronze(spark, f"{folder}/table")
+
+
 def q_silver_stream(spark, sf_dir):
+    """The same flights delivered twice, in new files, one run each."""
     folder = scratch_dir(spark, "silver-stream")
-    silver_stream(spark, *_stream_config(landed(spark, sf_dir, "flights"), folder))
+    flights = read_batch(spark, landed(spark, sf_dir, "flights"))
+    for _ in range(2):
+        _add_files(flights, f"{folder}/in")
+        many(silver_stream(spark, *_stream_config(f"{folder}/in", folder)))
     return read_batch(spark, f"{folder}/table").select(*FLIGHT_KEY)
 
 
 def q_silver_stream_bounded(spark, sf_dir):
-    folder, path = scratch_dir(spark, "silver-bounded"), landed(spark, sf_dir, "flights")
-    flights = read_stream(spark, path, infer_stream_schema(spark, path))
-    timed = flights.withColumn("eventTime", flight_day_instant("FlightDate"))
-    kept = dedup_stream(timed, FLIGHT_KEY, event_time="eventTime", delay="1 day")
-    run_available(spark, write_stream(kept, f"{folder}/table", f"{folder}/checkpoint"))
+    folder = scratch_dir(spark, "silver-bounded")
+    job = _stream_config(landed_by_year(spark, sf_dir, "flights"), folder, file_cap=1)
+    many(silver_stream(spark, *job, delay="1 day"))
     return read_batch(spark, f"{folder}/table").select(*FLIGHT_KEY)
 
 
 def q_silver_stream_clean(spark, sf_dir):
     folder = scratch_dir(spark, "silver-stream-clean")
-    config = _stream_config(landed(spark, sf_dir, "unique"), folder)
-    silver_stream(spark, *config, clean=True)
+    many(silver_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder), clean=True))
     return read_batch(spark, f"{folder}/table")
 
 
+def q_gold_stream_append(spark, sf_dir):
+    """Partial sums of one file at a time, every file with flights of all dates."""
+    folder = scratch_dir(spark, "gold-append")
+    many(gold_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder, file_cap=1)), FILES)
+    return read_totals(spark, f"{folder}/table")
+
+
+def q_gold_stream_compacted(spark, sf_dir):
+    """Partial sums and changes, folded half-way and at the end, with what was folded removed."""
+    folder = scratch_dir(spark, "gold-compacted")
+    flights = read_batch(spark, landed(spark, sf_dir, "unique"))
+    jobs = [_stream_config(f"{folder}/in", f"{folder}/{mode}", mode) for mode in ("append", "update")]
+    for part in ("CRSDepTime < 1200", "CRSDepTime >= 1200"):
+        _add_files(flights.where(part), f"{folder}/in")
+        for job in jobs:
+            many(gold_stream(spark, *job))
+        compact_totals(spark, f"{folder}/append/table", remove=True)
+        compact_changes(spark, f"{folder}/update/table", remove=True)
+    totals = read_totals(spark, f"{folder}/append/table").withColumn("form", F.lit("append"))
+    return totals.unionByName(read_changes(spark, f"{folder}/update/table").withColumn("form", F.lit("update")))
+
+
 def q_gold_stream_snapshot(spark, sf_dir):
     folder = scratch_dir(spark, "gold-snapshot")
-    gold_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder, "complete"))
+    many(gold_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder, "complete")))
     return read_snapshot(spark, f"{folder}/table")
 
 
 def q_gold_stream_changes(spark, sf_dir):
     folder = scratch_dir(spark, "gold-changes")
-    gold_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder, "update"))
+    many(gold_stream(spark, *_stream_config(landed(spark, sf_dir, "unique"), folder, "update")))
     return read_changes(spark, f"{folder}/table")
 
 
 def q_gold_stream_event_time(spark, sf_dir):
-    folder = scratch_dir(spark, "gold-event-time")
-    config = _stream_config(
-        landed(spark, sf_dir, "unique"), folder, partitionBy=["OriginCityName"]
-    )
-    gold_stream(spark, *config, delay="1 day")
-    return read_batch(spark, f"{folder}/table")
+    folder, path = scratch_dir(spark, "gold-event-time"), landed_by_year(spark, sf_dir, "unique")
+    job = _stream_config(path, folder, file_cap=1, partitionBy=["OriginCityName"])
+    many(gold_stream(spark, *job, delay="1 day", by_event_time=True))
+    return read_batch(spark, f"{folder}/table", schema=gold_daily_route(read_batch(spark, path)).schema)
 
 
 def q_layers_stream(spark, sf_dir):
@@ -323,16 +468,18 @@ def q_layers_stream(spark, sf_dir):
     folder = scratch_dir(spark, "layers-stream")
     bronze = _stream_config(landed(spark, sf_dir, "flights"), f"{folder}/bronze")
     silver = _stream_config(f"{folder}/bronze/table", f"{folder}/silver")
-    gold = _stream_config(f"{folder}/silver/table", f"{folder}/gold", "update")
-    bronze_stream(spark, *bronze, run_date=RUN_DATE)
-    silver_stream(spark, *silver)
-    gold_stream(spark, *gold)
-    return read_changes(spark, f"{folder}/gold/table").select(*DAILY_ROUTE_KEY, "flights_count")
+    gold = _stream_config(f"{folder}/silver/table", f"{folder}/gold")
+    many(bronze_stream(spark, *bronze, run_date=RUN_DATE))
+    many(silver_stream(spark, *silver))
+    many(gold_stream(spark, *gold))
+    return read_totals(spark, f"{folder}/gold/table").select(*DAILY_ROUTE_KEY, "flights_count")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stamp_ingestion": q_stamp_ingestion,
     "stamp_arrival_time": q_stamp_arrival_time,
+    "stamp_today": q_stamp_today,
+    "ignore_missing_files": q_ignore_missing_files,
     "conform": q_conform,
     "conform_null_on_error": q_conform_null_on_error,
     "fill_nulls": q_fill_nulls,
@@ -350,16 +497,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_counts": q_profile_counts,
     "dated_path_roundtrip": q_dated_path_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
+    "partition_value_kept": q_partition_value_kept,
     "bronze_batch": q_bronze_batch,
     "silver_batch": q_silver_batch,
     "gold_batch_daily_route": _gold_job("daily_route"),
     "gold_batch_monthly_carrier": _gold_job("monthly_carrier"),
     "gold_batch_route_performance": _gold_job("route_performance"),
     "bronze_stream": q_bronze_stream,
+    "bronze_stream_backfill": q_bronze_stream_backfill,
+    "bronze_stream_drift": q_bronze_stream_drift,
     "bronze_stream_rescued": q_bronze_stream_rescued,
     "silver_stream": q_silver_stream,
     "silver_stream_bounded": q_silver_stream_bounded,
     "silver_stream_clean": q_silver_stream_clean,
+    "gold_stream_append": q_gold_stream_append,
+    "gold_stream_compacted": q_gold_stream_compacted,
     "gold_stream_snapshot": q_gold_stream_snapshot,
     "gold_stream_changes": q_gold_stream_changes,
     "gold_stream_event_time": q_gold_stream_event_time,

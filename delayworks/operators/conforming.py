@@ -11,7 +11,8 @@ def conform(df: DataFrame, schema: StructType, on_error: str = "fail") -> DataFr
     """Cast every declared column that is present; leave the others as they are.
 
     ``on_error="fail"`` casts by the session's ANSI rule (on by default, so a
-    bad value ends the job); ``"null"`` turns bad values into NULL.
+    bad value ends the job); ``"null"`` turns bad values into NULL, numbers too
+    that the declared type cannot hold exactly.
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
@@ -21,8 +22,8 @@ def conform(df: DataFrame, schema: StructType, on_error: str = "fail") -> DataFr
         value, wanted = column(name), declared.get(name, found)
         if wanted == found:
             return value
-        cast = value.cast if on_error == "fail" else value.try_cast
-        return cast(wanted.simpleString()).alias(name)
+        cast = value.cast(wanted.simpleString()) if on_error == "fail" else _lenient_cast(value, found, wanted)
+        return cast.alias(name)
 
     return df.select(*(fitted(field.name, field.dataType) for field in df.schema))
 
@@ -32,7 +33,7 @@ def rescue_columns(
 ) -> DataFrame:
     """Exactly the declared columns, plus one JSON column for what does not fit.
 
-    Values that cannot be cast and columns that are not declared go into
+    Values that cannot be cast without loss and columns that are not declared go into
     ``rescue_col``, which is NULL where nothing was rescued. Declared columns
     that are absent read as NULL. Read the input with the files' own schema
     first: a declared type that contradicts the file fails in the scan.
@@ -57,6 +58,12 @@ def rescue_columns(
 
 
 def _lenient_cast(value: Column, found: DataType, wanted: DataType) -> Column:
-    """``try_cast``, by way of a string for pairs of types Spark refuses to cast."""
-    both_numeric = isinstance(found, NumericType) and isinstance(wanted, NumericType)
-    return (value if both_numeric else value.cast("string")).try_cast(wanted.simpleString())
+    """``try_cast``, by way of a string for pairs of types Spark refuses to cast.
+
+    A number becomes NULL where the cast back doesn't give it again; not-a-number stays where it can.
+    """
+    name = wanted.simpleString()
+    if not (isinstance(found, NumericType) and isinstance(wanted, NumericType)):
+        return value.cast("string").try_cast(name)
+    typed = value.try_cast(name)
+    return F.when(typed.try_cast(found.simpleString()).eqNullSafe(value), typed)

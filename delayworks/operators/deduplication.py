@@ -37,16 +37,16 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key over the life of the stream: the first to arrive.
 
-    That state is never dropped. With ``event_time`` and ``delay`` it is bounded
-    by the watermark instead: copies further apart than ``delay`` may both
-    survive, and rows behind the watermark are dropped.
+    That state, an entry per key, is never dropped. With ``event_time`` and
+    ``delay`` it is bounded by the watermark instead: copies further apart than
+    ``delay`` may both survive, and rows behind the watermark are dropped.
 
     A stateful operator has no map-side step, so every copy of a key would go
     to one task. ``hot_key_splits`` > 1 first removes copies per key and group of
-    input splits, which spreads a hot key over up to that many tasks, and then
-    per key, which decides. A key without copies passes both steps once, so the
-    price is a second state entry per key, whatever the number of splits. 1 turns
-    it off. Keep the number for the life of a checkpoint.
+    input splits within a micro-batch, which spreads a hot key over up to that
+    many tasks, and then per key, which decides. The first step forgets a
+    micro-batch when the next one is done; its price is a second shuffle. 1 turns
+    it off. Keep the choice for the life of a checkpoint.
     """
     keys = list(keys)
     if (event_time is None) != (delay is None):
@@ -54,15 +54,11 @@ def dedup_stream(
     if event_time is not None:
         df = df.withWatermark(event_time, delay)
     if hot_key_splits > 1:
-        helpers = {_SPLIT: F.spark_partition_id() % hot_key_splits}
-        if event_time is not None:
-            # Copies of one micro-batch only, so that expiry is left to the second step.
-            helpers[_BATCH_TIME] = F.current_timestamp()
-        df = _distinct(df.withColumns(helpers), [*keys, *helpers], event_time).drop(*helpers)
-    return _distinct(df, keys, event_time)
-
-
-def _distinct(df: DataFrame, keys: list[str], event_time: str | None) -> DataFrame:
-    if event_time is None:
-        return df.dropDuplicates(keys)
-    return df.dropDuplicatesWithinWatermark(keys)
+        # The time of the micro-batch, in the key, keeps the first step to copies of one micro-batch.
+        helpers = {_SPLIT: F.spark_partition_id() % hot_key_splits, _BATCH_TIME: F.current_timestamp()}
+        df = df.withColumns(helpers)
+        if event_time is None:
+            # Batch times only grow, so no row is ever behind this watermark.
+            df = df.withWatermark(_BATCH_TIME, "0 seconds")
+        df = df.dropDuplicatesWithinWatermark([*keys, *helpers]).drop(*helpers)
+    return df.dropDuplicates(keys) if event_time is None else df.dropDuplicatesWithinWatermark(keys)

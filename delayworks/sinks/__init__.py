@@ -1,5 +1,6 @@
-"""File sinks, batch and streaming."""
+"""Writers."""
 
-from delayworks.sinks.files import run_available, write_batch, write_stream
+from delayworks.sinks.batches import compact, expire
+from delayworks.sinks.files import dropped_rows, run_available, write_batch, write_counted, write_stream
 
-__all__ = ["run_available", "write_batch", "write_stream"]
+__all__ = ["compact", "dropped_rows", "expire", "run_available", "write_batch", "write_counted", "write_stream"]

@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -12,6 +12,8 @@ _STATE_ON_DISK = {
     _STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+#: Progress of so many micro-batches is kept, so that no dropped row of a run goes unseen.
+_PROGRESS = {"spark.sql.streaming.numRecentProgressUpdates": "100000"}
 _WRITER = "__writer_of_value"
 
 
@@ -37,6 +39,13 @@ def write_batch(
     writer.save(path)
 
 
+def write_counted(df: DataFrame, path: str, **how) -> int:
+    """Write a frame as ``write_batch`` does; the number of rows, counted by the write itself."""
+    rows = Observation()
+    write_batch(df.observe(rows, F.count(F.lit(1)).alias("rows")), path, **how)
+    return rows.get["rows"]
+
+
 def write_stream(
     df: DataFrame,
     path: str,
@@ -74,6 +83,12 @@ def run_available(spark: SparkSession, writer: DataStreamWriter) -> StreamingQue
     return query
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark in the query's run, and were left out."""
+    operators = (o for p in query.recentProgress for o in p["stateOperators"])
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)
+
+
 @contextmanager
 def _state_on_disk(spark: SparkSession):
     """Start queries on the RocksDB state store unless the session chose a store.
@@ -83,7 +98,8 @@ def _state_on_disk(spark: SparkSession):
     what changed and not the whole store. A restart keeps its checkpoint's store.
     """
     chosen = spark.conf.get(_STATE_STORE, None) is not None
-    ours = {} if chosen else {k: v for k, v in _STATE_ON_DISK.items() if spark.conf.get(k, None) is None}
+    wanted = _PROGRESS | ({} if chosen else _STATE_ON_DISK)
+    ours = {k: v for k, v in wanted.items() if spark.conf.get(k, None) is None}
     for key, value in ours.items():
         spark.conf.set(key, value)
     try:

@@ -1,5 +1,12 @@
-"""File sources, batch and streaming."""
+"""Readers."""
 
-from delayworks.sources.files import dated_path, infer_stream_schema, read_batch, read_stream
+from delayworks.sources.files import (
+    dated_path,
+    infer_stream_schema,
+    read_batch,
+    read_new_paths,
+    read_stream,
+    schema_groups,
+)
 
-__all__ = ["dated_path", "infer_stream_schema", "read_batch", "read_stream"]
+__all__ = ["dated_path", "infer_stream_schema", "read_batch", "read_new_paths", "read_stream", "schema_groups"]

@@ -1,6 +1,6 @@
 """Readers over path-based formats."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +9,10 @@ from pyspark.sql.types import StructType
 # Fixed value: the part of a path that stands for the run's date.
 DATE_PLACEHOLDER = "YYYY_MM_DD"
 
+# Formats whose streams need a declared schema and take files by age.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "xml", "text", "binaryFile")
+ANY_AGE = "36500d"
+
 
 def dated_path(template: str, run_date: date) -> str:
     """Put the run's date in place of every ``YYYY_MM_DD`` of a path."""
@@ -17,17 +21,20 @@ def dated_path(template: str, run_date: date) -> str:
 
 def read_batch(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fmt: str = "parquet",
     schema: StructType | str | None = None,
     options: Mapping[str, str] | None = None,
     ignore_missing_files: bool = False,
 ) -> DataFrame:
-    """Everything under a path; the schema comes from the files unless given."""
+    """Everything under a path or several; the schema comes from the files unless given.
+
+    Values of partition folders are guessed ("007" reads as 7) unless the schema declares them.
+    """
     reader = spark.read.format(fmt).options(**_with_missing(options, ignore_missing_files))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(path if isinstance(path, str) else list(path))
 
 
 def infer_stream_schema(
@@ -35,9 +42,42 @@ def infer_stream_schema(
     path: str,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    merge: bool = False,
 ) -> StructType:
-    """Schema of the files present now, to be declared on a stream over the same path."""
-    return read_batch(spark, path, fmt, options=options).schema
+    """Schema of the files present now, to be declared on a stream over the same path.
+
+    One file stands for all, or, with ``merge``, all files' schemas are united in one distributed
+    job, so a column that only some files have is not lost. Files that give one column
+    incompatible types are refused then.
+    """
+    united = {"mergeSchema": "true"} if merge and fmt in ("parquet", "orc", "avro") else {}
+    return read_batch(spark, path, fmt, options={**united, **(options or {})}).schema
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> list[list[str]]:
+    """Files in groups whose schemas unite. Files that don't unite are halved until they do; groups of
+    one schema are put together."""
+    todo, groups = [sorted(paths)], {}
+    while todo:
+        files = todo.pop()
+        try:
+            schema = read_batch(spark, files, fmt, options={"mergeSchema": "true"}).schema
+        except Exception as refused:
+            if len(files) == 1 or "CANNOT_MERGE" not in str(refused):
+                raise
+            todo += [files[: len(files) // 2], files[len(files) // 2 :]]
+            continue
+        groups.setdefault(schema.json(), []).extend(files)
+    return list(groups.values())
+
+
+def read_new_paths(
+    spark: SparkSession, path: str, pattern: str, max_files_per_trigger: int | None = None, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A stream of the paths of new files; their content is not read."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    given = {**(options or {}), "pathGlobFilter": pattern}
+    return read_stream(spark, path, schema, "binaryFile", given, max_files_per_trigger).select("path")
 
 
 def read_stream(
@@ -49,12 +89,17 @@ def read_stream(
     max_files_per_trigger: int | None = None,
     ignore_missing_files: bool = False,
 ) -> DataFrame:
-    """New files of a folder, each exactly once per checkpoint.
+    """New files of a folder, each exactly once per checkpoint, however old their timestamps.
 
-    Pass no schema only for formats that bring their own; see
+    Spark by default skips files a week older than the newest one that it has seen. Here it skips
+    none unless ``options`` set ``maxFileAge``; the checkpoint then remembers every path, and the
+    driver holds them. Pass no schema only for formats that bring their own; see
     ``infer_stream_schema`` for the others.
     """
-    reader = spark.readStream.format(fmt).options(**_with_missing(options, ignore_missing_files))
+    given = _with_missing(options, ignore_missing_files)
+    if "maxfileage" not in {name.lower() for name in given} and fmt in FILE_FORMATS:
+        given["maxFileAge"] = ANY_AGE
+    reader = spark.readStream.format(fmt).options(**given)
     if schema is not None:
         reader = reader.schema(schema)
     if max_files_per_trigger is not None:

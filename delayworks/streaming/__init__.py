@@ -2,21 +2,29 @@
 
 from delayworks.streaming.config import StreamInput, StreamOutput
 from delayworks.streaming.gold import (
+    compact_changes,
+    compact_totals,
     daily_route_by_event_time,
+    daily_route_partials,
     read_changes,
     read_snapshot,
-    write_batches,
+    read_totals,
 )
-from delayworks.streaming.jobs import bronze_stream, gold_stream, silver_stream
+from delayworks.streaming.jobs import RowsDropped, bronze_stream, gold_stream, read_bronze, silver_stream
 
 __all__ = [
+    "RowsDropped",
     "StreamInput",
     "StreamOutput",
     "bronze_stream",
+    "compact_changes",
+    "compact_totals",
     "daily_route_by_event_time",
+    "daily_route_partials",
     "gold_stream",
+    "read_bronze",
     "read_changes",
     "read_snapshot",
+    "read_totals",
     "silver_stream",
-    "write_batches",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from delayworks.sinks import write_stream
 from delayworks.sources import infer_stream_schema, read_stream
+from delayworks.sources.files import FILE_FORMATS
 
 # Configuration keys, and the source options that open Spark
 # knows by another name or provides in another way.
@@ -17,9 +18,16 @@ VENDOR_PREFIX = "cloudFiles."
 VENDOR_FILE_FORMAT = "cloudFiles.format"
 VENDOR_RESCUE_COLUMN = "cloudFiles.rescuedDataColumn"
 VENDOR_FILE_CAP = "cloudFiles.maxFilesPerTrigger"
-
-# Formats whose streams need a declared schema.
-FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "xml")
+VENDOR_INFER_TYPES = "cloudFiles.inferColumnTypes"
+#: Vendor options about file discovery and schema tracking, which the file stream does by itself.
+VENDOR_NOT_NEEDED = {
+    "cloudFiles.schemaLocation",
+    "cloudFiles.schemaEvolutionMode",
+    "cloudFiles.includeExistingFiles",
+    "cloudFiles.useNotifications",
+}
+MISSING_FILES = "ignoreMissingFiles"
+_SELF_TYPED = ("parquet", "orc", "avro", "delta")
 
 
 @dataclass(frozen=True)
@@ -31,32 +39,45 @@ class StreamInput:
     options: Mapping[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
     rescue_column: str | None = None
+    ignore_missing_files: bool = False
 
     @classmethod
     def from_config(cls, config: Mapping) -> "StreamInput":
         """Read ``format``, ``datasetInputPath`` and ``autoloaderOptions``.
 
-        Vendor options for the file format, the cap on files and the rescue
-        column are honoured; those about schema tracking are not needed, as the
-        schema is inferred once at the start. Other options pass through.
+        Vendor options for the file format, the cap on files, the rescue column
+        and inferred column types are honoured; those about discovery and schema
+        tracking are not needed, as the schema is inferred once at the start; any
+        other vendor option is refused. ``ignoreMissingFiles`` (off unless given)
+        and other options are Spark's own.
         """
         given = config.get("autoloaderOptions", {})
         fmt = config.get("format", VENDOR_FORMAT)
         if fmt == VENDOR_FORMAT:
             fmt = given.get(VENDOR_FILE_FORMAT, "parquet")
         cap = given.get(VENDOR_FILE_CAP)
+        known = {VENDOR_FILE_FORMAT, VENDOR_FILE_CAP, VENDOR_RESCUE_COLUMN, VENDOR_INFER_TYPES, *VENDOR_NOT_NEEDED}
+        if unknown := sorted(k for k in given if k.startswith(VENDOR_PREFIX) and k not in known):
+            raise ValueError(f"options without a counterpart: {unknown}")
+        options = {k: v for k, v in given.items() if not k.startswith(VENDOR_PREFIX) and k != MISSING_FILES}
+        if fmt not in _SELF_TYPED and VENDOR_INFER_TYPES in given:
+            options.setdefault("inferSchema", str(given[VENDOR_INFER_TYPES]).lower())
         return cls(
             path=config["datasetInputPath"],
             fmt=fmt,
-            options={k: v for k, v in given.items() if not k.startswith(VENDOR_PREFIX)},
+            options=options,
             max_files_per_trigger=None if cap is None else int(cap),
             rescue_column=given.get(VENDOR_RESCUE_COLUMN),
+            ignore_missing_files=str(given.get(MISSING_FILES, False)).lower() == "true",
         )
 
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
-        """The stream, with the schema of the present files unless one is given."""
+        """The stream, with the schema of the present files unless one is given: of all of them
+        where columns are rescued, as a column outside of the schema never reaches the stream."""
         if schema is None and self.fmt in FILE_FORMATS:
-            schema = infer_stream_schema(spark, self.path, self.fmt, self.options)
+            schema = infer_stream_schema(
+                spark, self.path, self.fmt, self.options, merge=self.rescue_column is not None
+            )
         return read_stream(
             spark,
             self.path,
@@ -64,7 +85,7 @@ class StreamInput:
             self.fmt,
             self.options,
             self.max_files_per_trigger,
-            ignore_missing_files=True,
+            ignore_missing_files=self.ignore_missing_files,
         )
 
 

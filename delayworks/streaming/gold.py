@@ -1,24 +1,68 @@
 """Daily route measures on a stream.
 
-A file sink only takes finished groups (append mode), and a group is finished
-only when a watermark has passed it. Hence three forms, by output mode:
-``append`` over event-time windows, ``complete`` with one whole result per
-micro-batch, ``update`` with the changed groups per micro-batch.
+A micro-batch is stored in a folder of its own (see ``delayworks.sinks.batches``), in one of three
+forms by output mode: ``append`` stores partial sums of the batch's rows, which readers add up;
+``complete`` the whole result; ``update`` the changed groups. A fourth form takes days that a
+watermark has passed to a plain file sink.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from delayworks.functions import instant_day
+from delayworks.functions import instant_day, percent
 from delayworks.operators import dedup
 from delayworks.plans.gold import daily_route_measures
-from delayworks.schema import DAILY_ROUTE_KEY
-from delayworks.sinks import write_batch
-from delayworks.sources import read_batch
+from delayworks.schema import DAILY_ROUTE_KEY, FLIGHT_SCHEMA, LATE_ARRIVAL_MINUTES
+from delayworks.sinks.batches import BATCH_COLUMN, committed, compact, current_run, live, read_folders
+
+# Averages of a day and route, and the columns they are taken of.
+_AVERAGES = {
+    "avg_dep_delay_minutes": "DepDelayMinutes",
+    "avg_taxi_out": "TaxiOut",
+    "avg_taxi_in": "TaxiIn",
+}
+_ADDED = ["flights", "late", *(f"{kind}_{c}" for c in _AVERAGES.values() for kind in ("sum", "n"))]
+
+_KEY_FIELDS = [FLIGHT_SCHEMA[name] for name in DAILY_ROUTE_KEY]
+_BATCH_FIELD = StructType().add(BATCH_COLUMN, "long").fields
+PARTIAL_SCHEMA = StructType(
+    [
+        *_KEY_FIELDS,
+        *(StructType().add(c, "double" if c.startswith("sum_") else "long")[0] for c in _ADDED),
+        *_BATCH_FIELD,
+    ]
+)
+MEASURE_TYPES = {"flights_count": "long", "arr_delay_gt15_count": "long"}
+MEASURES = ("flights_count", "avg_dep_delay_minutes", "arr_delay_gt15_count", "arr_delay_gt15_pct", "avg_taxi_out", "avg_taxi_in")
+RESULT_SCHEMA = StructType(
+    [*_KEY_FIELDS, *(StructType().add(m, MEASURE_TYPES.get(m, "double"))[0] for m in MEASURES), *_BATCH_FIELD]
+)
+
+
+def daily_route_partials(silver: DataFrame) -> DataFrame:
+    """Counts and sums per day and route, from which the measures of any union of rows follow."""
+    columns: list[Column] = [
+        F.count("*").alias("flights"),
+        F.count_if(F.col("ArrDelayMinutes") > LATE_ARRIVAL_MINUTES).alias("late"),
+    ]
+    for column in _AVERAGES.values():
+        columns += [F.sum(column).alias(f"sum_{column}"), F.count(column).alias(f"n_{column}")]
+    return silver.groupBy(*DAILY_ROUTE_KEY).agg(*columns)
+
+
+def added_up(partials: DataFrame) -> DataFrame:
+    """One row per day and route of the counts and sums; the number is the latest one."""
+    return partials.groupBy(*DAILY_ROUTE_KEY).agg(
+        *(F.sum(c).alias(c) for c in _ADDED), F.max(BATCH_COLUMN).alias(BATCH_COLUMN)
+    )
+
 
-BATCH_COLUMN = "batch_id"
+def latest(changes: DataFrame, keys: Sequence[str] = DAILY_ROUTE_KEY) -> DataFrame:
+    """The latest version of every group."""
+    return dedup(changes, keys, [F.col(BATCH_COLUMN).desc()])
 
 
 def daily_route_by_event_time(silver: DataFrame, event_time: str, delay: str) -> DataFrame:
@@ -42,30 +86,44 @@ def daily_route_by_event_time(silver: DataFrame, event_time: str, delay: str) ->
     )
 
 
-def write_batches(
-    path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores each micro-batch under its number.
-
-    A micro-batch that is run again after a failure replaces its own folder.
-    """
+def read_totals(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The measures of all rows that an ``append`` stream has taken."""
+    run = current_run(spark, path)
+    total = added_up(read_folders(spark, live(committed(spark, run)) if run else [], PARTIAL_SCHEMA, fmt))
+    return total.select(
+        *DAILY_ROUTE_KEY,
+        F.col("flights").alias("flights_count"),
+        _average("avg_dep_delay_minutes"),
+        F.col("late").alias("arr_delay_gt15_count"),
+        percent(F.col("late"), F.col("flights")).alias("arr_delay_gt15_pct"),
+        _average("avg_taxi_out"),
+        _average("avg_taxi_in"),
+    )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{path}/{BATCH_COLUMN}={batch_id}", fmt, partition_by=partition_by)
 
-    return write
+def _average(name: str) -> Column:
+    column = _AVERAGES[name]
+    return (F.col(f"sum_{column}") / F.nullif(F.col(f"n_{column}"), F.lit(0))).alias(name)
 
 
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The latest whole result of a ``complete`` stream; older folders are pruned."""
-    stored = read_batch(spark, path, fmt)
-    latest = stored.select(F.max(BATCH_COLUMN)).scalar()
-    return stored.where(F.col(BATCH_COLUMN) == latest).drop(BATCH_COLUMN)
+    """The whole result of a ``complete`` stream: the newest committed folder of the newest run."""
+    run = current_run(spark, path)
+    newest = committed(spark, run)[-1:] if run else []
+    return read_folders(spark, newest, RESULT_SCHEMA, fmt).drop(BATCH_COLUMN)
 
 
-def read_changes(
-    spark: SparkSession, path: str, keys: Sequence[str] = DAILY_ROUTE_KEY, fmt: str = "parquet"
-) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The latest version of every group of an ``update`` stream."""
-    stored = read_batch(spark, path, fmt)
-    return dedup(stored, keys, [F.col(BATCH_COLUMN).desc()]).drop(BATCH_COLUMN)
+    run = current_run(spark, path)
+    return latest(read_folders(spark, live(committed(spark, run)) if run else [], RESULT_SCHEMA, fmt)).drop(BATCH_COLUMN)
+
+
+def compact_totals(spark: SparkSession, path: str, remove: bool = False, **how) -> None:
+    """Fold the partial sums of an ``append`` stream into one folder."""
+    compact(spark, path, added_up, PARTIAL_SCHEMA, remove=remove, **how)
+
+
+def compact_changes(spark: SparkSession, path: str, remove: bool = False, **how) -> None:
+    """Fold the versions of an ``update`` stream into one folder of the latest ones."""
+    compact(spark, path, latest, RESULT_SCHEMA, remove=remove, **how)

@@ -6,28 +6,33 @@ checkpoint, waits, and returns the finished query. Errors are raised.
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from delayworks.functions import flight_day_instant
 from delayworks.operators import dedup_stream, rescue_columns, stamp_ingestion
 from delayworks.plans.gold import gold_daily_route
 from delayworks.plans.silver import clean_flights
 from delayworks.schema import FLIGHT_KEY, FLIGHT_SCHEMA
-from delayworks.sinks import run_available
+from delayworks.sinks import dropped_rows, run_available
+from delayworks.sinks.batches import committed, current_run, live, read_folders, write_batches
+from delayworks.sources import read_batch, read_new_paths, schema_groups
 from delayworks.streaming.config import StreamInput, StreamOutput
-from delayworks.streaming.gold import daily_route_by_event_time, write_batches
+from delayworks.streaming.gold import daily_route_by_event_time, daily_route_partials
 
 # Both stamps of streaming bronze, the event-time column of
 # streaming gold and its default watermark delay.
 BRONZE_STAMPS = ("ingestion_date", "fecha")
 EVENT_TIME_COLUMN = "eventTime"
 WATERMARK_DELAY = "10 minutes"
+RESCUE_COLUMN = "_rescued_data"
 
-# Groups are few next to flights: a handful of writers per partition value will do.
-GOLD_FILES_PER_VALUE = 8
+
+class RowsDropped(RuntimeError):
+    """A stream bounded by a watermark has left out rows that came behind it."""
 
 
 def bronze_stream(
@@ -36,12 +41,17 @@ def bronze_stream(
     output_config: Mapping,
     schema: StructType | None = None,
     run_date: date | None = None,
+    by_file_schema: bool = False,
 ) -> StreamingQuery:
     """Store new files as they are, stamped with the run's date.
 
-    With a rescue column configured, the frame is fitted to the flight schema.
+    With a rescue column configured, the frame is fitted to the flight schema. ``by_file_schema``
+    then reads each file by its own schema, so that columns which come up later, or files that give
+    a column another type, are rescued too; see ``read_bronze``.
     """
     source = StreamInput.from_config(input_config)
+    if by_file_schema:
+        return _bronze_by_file_schema(spark, source, StreamOutput.from_config(output_config), run_date)
     raw = source.read(spark, schema)
     if source.rescue_column:
         raw = rescue_columns(raw, FLIGHT_SCHEMA, source.rescue_column)
@@ -49,6 +59,33 @@ def bronze_stream(
     return run_available(spark, StreamOutput.from_config(output_config).write(stamped))
 
 
+def _bronze_by_file_schema(
+    spark: SparkSession, source: StreamInput, sink: StreamOutput, run_date: date | None
+) -> StreamingQuery:
+    rescue = source.rescue_column or RESCUE_COLUMN
+
+    def fitted(paths: DataFrame) -> DataFrame:
+        files = [row["path"] for row in paths.collect()]  # as many as the cap on files lets in
+        groups = (read_batch(spark, group, source.fmt, options={"mergeSchema": "true"}) for group in schema_groups(spark, files, source.fmt))
+        frames = [rescue_columns(raw, FLIGHT_SCHEMA, rescue) for raw in groups]
+        return stamp_ingestion(reduce(DataFrame.unionByName, frames), BRONZE_STAMPS, run_date)
+
+    new = read_new_paths(spark, source.path, f"*.{source.fmt}", source.max_files_per_trigger, source.options)
+    writer = new.writeStream.option("checkpointLocation", sink.checkpoint).foreachBatch(
+        write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, fitted)
+    )
+    return run_available(spark, writer)
+
+
+def read_bronze(spark: SparkSession, path: str, rescue_column: str = "_rescued_data", fmt: str = "parquet") -> DataFrame:
+    """What ``bronze_stream`` has stored with ``by_file_schema``."""
+    stamps = [StructField(name, DateType()) for name in BRONZE_STAMPS]
+    rest = [f for f in FLIGHT_SCHEMA if f.name not in BRONZE_STAMPS]
+    schema = StructType([*stamps, *rest, StructField(rescue_column, StringType())])
+    run = current_run(spark, path)
+    return read_folders(spark, live(committed(spark, run)) if run else [], schema, fmt)
+
+
 def silver_stream(
     spark: SparkSession,
     input_config: Mapping,
@@ -56,16 +93,31 @@ def silver_stream(
     schema: StructType | None = None,
     clean: bool = False,
     hot_key_splits: int = 256,
+    event_date: str = "FlightDate",
+    delay: str | None = None,
 ) -> StreamingQuery:
     """Store the first arrival of every flight, across runs of one checkpoint.
 
-    ``clean=True`` also applies the cleaning of batch silver.
+    ``clean=True`` also applies the cleaning of batch silver. With a ``delay``, keys are forgotten
+    once the watermark over ``event_date`` has passed them by it, and ``RowsDropped`` is raised at
+    the end of a run in which rows came behind the watermark and so weren't stored.
     """
     raw = StreamInput.from_config(input_config).read(spark, schema)
-    flights = dedup_stream(raw, FLIGHT_KEY, hot_key_splits=hot_key_splits)
+    if delay is None:
+        flights = dedup_stream(raw, FLIGHT_KEY, hot_key_splits=hot_key_splits)
+    else:
+        timed = raw.withColumn(EVENT_TIME_COLUMN, flight_day_instant(event_date))
+        flights = dedup_stream(timed, FLIGHT_KEY, EVENT_TIME_COLUMN, delay, hot_key_splits).select(raw.columns)
     if clean:
         flights = clean_flights(flights)
-    return run_available(spark, StreamOutput.from_config(output_config).write(flights))
+    query = run_available(spark, StreamOutput.from_config(output_config).write(flights))
+    return query if delay is None else _whole(query)
+
+
+def _whole(query: StreamingQuery) -> StreamingQuery:
+    if lost := dropped_rows(query):
+        raise RowsDropped(f"{lost} rows came behind the watermark and were left out; take a longer delay")
+    return query
 
 
 def gold_stream(
@@ -75,24 +127,29 @@ def gold_stream(
     schema: StructType | None = None,
     event_date: str = "FlightDate",
     delay: str = WATERMARK_DELAY,
+    by_event_time: bool = False,
 ) -> StreamingQuery:
     """Store daily route measures; the output mode selects the form.
 
-    ``append``: finished days by event time, from ``event_date`` and ``delay``.
-    ``complete``: see ``read_snapshot``. ``update``: see ``read_changes``; the
-    form to prefer for long streams, as it writes only what changed.
+    ``append``: partial sums per micro-batch, see ``read_totals``. It keeps no state and drops no
+    row, whatever order files come in, and is the form to prefer. ``complete``: see
+    ``read_snapshot``. ``update``: see ``read_changes``. ``by_event_time`` stores finished days
+    instead, once a watermark over ``event_date`` has passed them by ``delay``; ``RowsDropped`` is
+    raised if rows came behind it.
     """
     silver = StreamInput.from_config(input_config).read(spark, schema)
-    sink = StreamOutput.from_config({"filesPerValue": GOLD_FILES_PER_VALUE, **output_config})
-    if sink.output_mode == "append":
+    sink = StreamOutput.from_config(output_config)
+    if by_event_time:
         timed = silver.withColumn(EVENT_TIME_COLUMN, flight_day_instant(event_date))
-        return run_available(
-            spark, sink.write(daily_route_by_event_time(timed, EVENT_TIME_COLUMN, delay))
-        )
+        daily = daily_route_by_event_time(timed, EVENT_TIME_COLUMN, delay)
+        return _whole(run_available(spark, sink.write(daily)))
+    if sink.output_mode == "append":
+        rows, transform = silver, daily_route_partials
+    else:
+        rows, transform = gold_daily_route(silver), lambda groups: groups
     writer = (
-        gold_daily_route(silver)
-        .writeStream.outputMode(sink.output_mode)
+        rows.writeStream.outputMode(sink.output_mode)
         .option("checkpointLocation", sink.checkpoint)
-        .foreachBatch(write_batches(sink.path, sink.fmt, sink.partition_by))
+        .foreachBatch(write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, transform))
     )
     return run_available(spark, writer)
