@@ -78,6 +78,11 @@ def test_conform_on_a_bad_value(spark):
         conform(bad, FLIGHT_SCHEMA, on_error="ignore")
 
 
+def test_conform_nulls_what_cannot_be_cast_at_all_or_without_loss(spark):
+    raw = spark.sql("SELECT DATE'2024-01-02' AS Year, 600.5D AS CRSDepTime, 7.0D AS CRSArrTime")
+    assert conform(raw, FLIGHT_SCHEMA, on_error="null").collect() == [(None, None, 7)]
+
+
 def test_conform_handles_names_with_dots(spark):
     raw = spark.createDataFrame([("b", "7")], "`a.b` string, Year string")
     assert [tuple(r) for r in conform(raw, FLIGHT_SCHEMA).collect()] == [("b", 7)]
@@ -104,6 +109,13 @@ def test_rescue_with_types_that_spark_refuses_to_cast(spark):
     assert row["_rescued_data"] == '{"Year":"2024-01-02","FlightDate":3,"Distance":[1,2]}'
 
 
+def test_rescue_takes_numbers_that_lose_digits(spark):
+    raw = spark.sql("SELECT 2020.7D AS Year, 2.0D AS Month, 9007199254740993L AS Distance, 8L AS AirTime")
+    row = rescue_columns(raw, FLIGHT_SCHEMA).first()
+    assert (row["Year"], row["Month"], row["Distance"], row["AirTime"]) == (None, 2, None, 8.0)
+    assert row["_rescued_data"] == '{"Year":2020.7,"Distance":9007199254740993}'
+
+
 def test_rescue_of_a_fitting_frame_is_null(flights):
     out = rescue_columns(flights({}), FLIGHT_SCHEMA)
     assert values(out, "_rescued_data") == [None]
