@@ -67,6 +67,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     boilerplate that was left open before it.
     """
     stack: list[tuple[str, bool]] = []
+    held: Counter[str] = Counter()  # open elements by name
     marked = skipped = at = 0
     for found in _TOKEN.finditer(page):
         if found.start() > at:
@@ -77,8 +78,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         if found["close"]:
             yield "close", name, marked > 0, skipped > 0
-            while any(n == name for n, _ in stack):
+            while held[name]:
                 popped, skip = stack.pop()
+                held[popped] -= 1
                 skipped -= skip
                 marked -= popped in ("article", "main") and not skip
                 if popped == name:
@@ -90,6 +92,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         yield "open", name, marked > 0, skipped > 0 or skip
         if name not in VOID and not found["rest"].endswith("/"):
             stack.append((name, skip))
+            held[name] += 1
             skipped += skip
             marked += name in ("article", "main") and not skip
     if at < len(page):

@@ -25,9 +25,9 @@ _LOWER = (
     "аеёиоуыэюя",
     "бвгджзйклмнпрстфхцчшщъь",
     "αεηιουωάέήίόύώ",
-    "βγδζθκλμνξπρσςτφχψ",
+    "βγδζθκλμνξπρστφχψ",
 )
-CLASSES = ("0123456789", *_LOWER, *(text.upper().replace("ẞ", "").replace("SS", "") for text in _LOWER))
+CLASSES = ("0123456789", *_LOWER, *(text.replace("ß", "").upper() for text in _LOWER))
 HEX = "0123456789abcdef"
 _LETTER = r"A-Za-zÀ-ÖØ-öø-ÿŁłŒœŠšŽžΆ-ώЁА-яё"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"

@@ -81,7 +81,7 @@ def test_labels_and_ids_are_no_inputs(spark, documents):
     model = weak_toxicity.train([], [])
     rows = [(1, "you idiot", "a"), (None, "you idiot", None), (2, None, "b"), (2, "", "b")]
     scores = [r["score"] for r in scored(documents(rows), model).collect()]
-    assert scores[0] == scores[1] > 0.9 and scores[2] == scores[3] < 0.1
+    assert scores[0] == scores[1] > 0.8 and scores[2] == scores[3] < 0.1
 
 
 def test_toxic_documents_go_with_all_columns_kept(spark, documents):
