@@ -23,8 +23,9 @@ from delayworks.llm.tables import ship
 
 SHORT = 64
 WORDS_AT_ONCE = 20_000
-CHARACTERS_AT_ONCE = 1 << 19
-CACHED_WORDS = 150_000
+CHARACTERS_AT_ONCE = 1 << 18
+ROWS_AT_ONCE = 256
+CACHED_WORDS = 100_000
 NONE = np.int64(1 << 40)
 
 # Fixed value: the split of the byte-level tokenizer into words.
@@ -172,12 +173,12 @@ class Tokenizer:
         ``CACHED_WORDS`` the known words become the old ones, of which those in use are taken over."""
         if len(self._known) > CACHED_WORDS:
             self._old, self._known = self._known, {}
-        wanted = set(words).difference(self._known)
-        if self._old:
-            for word in [w for w in wanted if w in self._old]:
+        new = []
+        for word in set(words).difference(self._known):
+            if word in self._old:
                 self._known[word] = self._old[word]
-            wanted.difference_update(self._old)
-        new = list(wanted)
+            else:
+                new.append(word)
         number_text, bytes_of = self.number_text, self.bytes_of
         for word, ids in zip(new, self.words([w.encode("utf-8", "surrogatepass") for w in new])):
             if word in self.special:
@@ -224,9 +225,9 @@ def encoded(
 
     def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = shared.value
-        for batch in batches:
+        for batch in (b[at : at + ROWS_AT_ONCE] for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
             rows = []
-            for ids, raw in bpe.encode(list(batch["text"])):
+            for ids, raw in bpe.encode(batch["text"]):
                 decoded = raw.decode("utf-8", "replace").encode()
                 row = [ids.count(","), hashlib.sha256(ids[:-1].encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
                 rows.append([*row, np.fromstring(ids, np.int32, sep=",")] if with_ids else row)
