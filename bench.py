@@ -15,7 +15,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from checks.queries import QUERIES, landed
+from checks.queries import QUERIES, landed, landed_by_year
 from delayworks.scratch import set_scratch
 
 HEADLINE = (
@@ -27,6 +27,8 @@ HEADLINE = (
     "gold_batch_daily_route",
     "bronze_stream",
     "silver_stream",
+    "silver_stream_clean",
+    "gold_stream_append",
     "gold_stream_changes",
     "gold_stream_event_time",
 )
@@ -56,6 +58,7 @@ def main() -> None:
     set_scratch(spark, tempfile.mkdtemp(prefix="bench-"))
     for kind in ("flights", "ordered", "unique"):
         landed(spark, sf_dir, kind)
+    landed_by_year(spark, sf_dir, "unique")
     runs = {name: [timed(spark, sf_dir, name) for _ in range(RUNS)] for name in HEADLINE}
     seconds = {name: round(statistics.median(times), 3) for name, times in runs.items()}
     print(
