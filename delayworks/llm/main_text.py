@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delayworks.llm.tables import ship
+from delayworks.llm.tables import drawn, ship
 
 SAMPLE = 500
 CLIP = 3.0
@@ -25,7 +25,7 @@ LEAST_COST = 0.01
 DEFAULT_WORD, DEFAULT_TAG = 1.0, -0.3
 
 # HTML's raw, void, inline and boilerplate elements, and names that mark boilerplate.
-RAW = "script style noscript template title textarea iframe svg math object head canvas audio video".split()
+RAW = "script style noscript template title textarea iframe svg math object canvas audio video".split()
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
@@ -38,6 +38,9 @@ HINTS = set(
     "breadcrumb breadcrumbs widget sponsor sponsored login signup search disclaimer alert toolbar pagination pager "
     "topbar disqus replies reply respond outbrain taboola gdpr complementary contentinfo".split()
 )
+#: Names that mark an article of readers, and words that make a name say what an element has, not what it is.
+READERS = set("comment comments reply replies respond".split())
+LAYOUT = {"has", "with", "no", "without"}
 _RAW = "|".join(RAW)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -52,10 +55,12 @@ _NAME_PARTS = re.compile(r"[^a-z]+")
 def _is_boilerplate(name: str, rest: str, in_text: bool) -> bool:
     if name in BOILERPLATE or (name == "header" and not in_text):
         return True
-    if not rest.strip(" /"):
+    if name in ("html", "body") or not rest.strip(" /"):
         return False
+    hints = READERS if name in ("article", "main") else HINTS
     for key, *values in _ATTRIBUTE.findall(rest):
-        if key.lower() == "hidden" or HINTS.intersection(_NAME_PARTS.split("".join(values).lower())):
+        parts = set(_NAME_PARTS.split("".join(values).lower()))
+        if key.lower() == "hidden" or (parts & hints and not parts & LAYOUT):
             return True
     return False
 
@@ -167,9 +172,9 @@ def extract(page: str, weights: dict[tuple, float]) -> str:
 
 
 def labelled_pages(pages: DataFrame, sample: int = SAMPLE, html_col: str = "html") -> list[str]:
-    """``sample`` pages at most, by hash, of those that mark their text."""
+    """About ``sample`` pages, by hash, of those that mark their text; copies once."""
     marked = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)\b")).select(F.col(html_col).alias("html"))
-    return [r["html"] for r in marked.orderBy(F.xxhash64("html"), "html").limit(sample).collect()]
+    return sorted(r["html"] for r in drawn(marked, sample, "html").distinct().collect())
 
 
 def main_text(pages: DataFrame, weights: dict[tuple, float], html_col: str = "html", into: str = "text") -> DataFrame:

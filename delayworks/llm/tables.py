@@ -3,6 +3,7 @@
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from delayworks.scratch import scratch_dir
 
@@ -40,3 +41,12 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def drawn(df: DataFrame, size: int, key: str) -> DataFrame:
+    """About ``size`` of the rows, by the hash of a key that tells them apart; all if there are no more.
+
+    A threshold on the hash, not a sort: each task sends its share of the sample and no more.
+    """
+    total, scale = df.count(), 1 << 40
+    return df if total <= size else df.where(F.pmod(F.xxhash64(key), F.lit(scale)) < int(size / total * scale))
