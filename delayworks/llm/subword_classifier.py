@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.subwords import counts, sums
-from delayworks.llm.tables import ship
+from delayworks.llm.tables import drawn, ship
 
 BITS = 18
 DIMENSIONS = 8
@@ -78,11 +78,10 @@ def held_out(id_col: str = "doc_id") -> Column:
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label_col: str, size: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> pd.DataFrame:
-    """``size`` labelled rows at most that are not held out, by the hash of their id: (text, label)."""
+    """About ``size`` labelled rows that are not held out, by the hash of their id: (id, text, label)."""
     known = labels.where(~held_out(id_col)).where(F.col(label_col).isNotNull())
-    chosen = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).orderBy(
-        F.xxhash64("id"), "id", "label"
-    ).limit(size)
+    known = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null")
+    chosen = drawn(known.distinct(), size, "id")
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # the sample is bounded by its size
     found = texts.join(F.broadcast(chosen), "id").select("id", "text", "label").toPandas()

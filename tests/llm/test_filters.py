@@ -189,3 +189,14 @@ def test_pages_of_the_table(spark):
         assert row["text"] == " ".join(filter(None, (" ".join(html.unescape(b).split()) for b in blocks)))
     empty = spark.createDataFrame([(None,), ("",)], "html string")
     assert [r["text"] for r in main_text(empty, learn([])).collect()] == ["", ""]
+
+
+def test_a_head_that_is_never_closed_hides_nothing():
+    page = "<html><head><title>T</title><style>p{}</style><body><article><p>The text.</article>"
+    assert extract(page, learn([page])) == "The text."
+
+
+@pytest.mark.parametrize("opening", ["<article class='no-sidebar'>", "<main class='header'>", "<div class='with-sidebar'><article>"])
+def test_names_of_the_layout_hide_nothing(opening):
+    page = f"<body class='sidebar'>{opening}<p>The text.</p><article class=comment>mine</article></article></main>"
+    assert extract(page, learn([page])) == "The text."
