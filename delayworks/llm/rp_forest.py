@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.components import components, forest, merge_labels
-from delayworks.llm.tables import ship, stored
+from delayworks.llm.tables import drawn, ship, stored
 
 TREES = 5
 MARGIN = 0.02
@@ -148,11 +148,11 @@ def near_vectors(
     able = rows.where(valid("vector") & F.col("id").isNotNull())
     distinct = stored(able.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("n")), "vectors")
     total = distinct.count()
-    drawn = distinct.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toPandas()["vector"]
-    sizes = drawn.map(len)
+    chosen = drawn(distinct, sample, "id").select("id", "vector").toPandas().sort_values("id", ignore_index=True)["vector"]
+    sizes = chosen.map(len)
     grown = {
         int(size): [
-            grow(_unit(drawn[sizes == size]), total / len(drawn), seed + number, leaf, margin) for number in range(trees)
+            grow(_unit(chosen[sizes == size]), total / len(chosen), seed + number, leaf, margin) for number in range(trees)
         ]
         for size in sizes.unique()
     }
