@@ -300,7 +300,8 @@ def verified_links(df: DataFrame, loose: DataFrame, words: int, least: float, id
     A group is compared tile by tile, so no task holds more than two tiles; texts outside of
     groups aren't moved.
     """
-    sizes = loose.groupBy("component").count().where("count > 1")
+    # stored, so that Spark can split the join at a large group
+    sizes = stored(loose.groupBy("component").count().where("count > 1"), "sizes")
     members = loose.join(sizes, "component").select("id", "component", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
     members = stored(members, "members")
     named = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
