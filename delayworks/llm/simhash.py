@@ -9,6 +9,7 @@ the radius. Nodes whose members are one class already are not compared again.
 """
 
 from collections.abc import Iterator, Sequence
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from delayworks.llm.bloom_cascade import split_by
 from delayworks.llm.components import components, forest, merge_labels
-from delayworks.llm.tables import ship, stored
+from delayworks.llm.tables import drawn, ship, stored
 
 SEED = 42
 FAN = 8
@@ -263,10 +264,13 @@ def near_groups(
 
 
 #: For shingle sets at a Jaccard similarity of 0.8: fingerprints differ in 15% of 256 bits, with a
-#: deviation of 6 bits; 40 bands of 14 bits find 98% of such pairs, and more of nearer ones.
+#: deviation of 6 bits. Bands and radius miss some pairs near the threshold, more of short texts;
+#: ``missed_links`` finds what they miss.
 SIMILAR = {"words": 5, "lanes": 4, "radius": 58, "bands": sampled_bands(4, 40), "repeats": False}
 TILE = 256
 CELLS_AT_ONCE = 1 << 22
+COMMON_SAMPLE = 20_000
+COMMON_MOST = 500_000
 
 
 def similar(sets: Sequence[np.ndarray], one: np.ndarray, other: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -331,11 +335,94 @@ def verified_links(df: DataFrame, loose: DataFrame, words: int, least: float, id
     return cells.drop("other").groupBy("component", "low", "high").applyInPandas(of_cell, "a long, b long")
 
 
+def common_shingles(df: DataFrame, words: int, text_col: str) -> np.ndarray:
+    """Hashes of shingles that stand in two or more of about ``COMMON_SAMPLE`` distinct texts, the rarer first.
+
+    They order the shingles only, so a bounded sample does: no link depends on it.
+    """
+    texts = df.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingle_hashes(t, words, False) for t in batch["text"].drop_duplicates()]
+            yield pd.DataFrame({"h": np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)})
+
+    counted = drawn(texts, COMMON_SAMPLE, "text").distinct().mapInPandas(hashed, "h long").groupBy("h").count()
+    top = counted.where("count > 1").orderBy(F.desc("count"), "h").limit(COMMON_MOST).toPandas()
+    return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray, place: np.ndarray, least: float) -> np.ndarray:
+    """The first hashes of a set in one order for all sets, uncommon ones first: of two sets as similar as
+    ``least``, the prefixes share a hash. ``common`` is sorted, ``place`` has the place of each in the order."""
+    size = len(hashes)
+    take = size - ceil(least * size - 1e-9) + 1 if size else 0
+    if not len(common):
+        return hashes[:take]
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    order = np.where(common[at] == hashes, place[at], -1)
+    return hashes[np.argsort(order, kind="stable")[:take]]
+
+
+def missed_links(df: DataFrame, roots: DataFrame, words: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) of all groups that hold similar texts but are still apart; exact.
+
+    ``roots`` has (id, root) of rows whose group isn't called by their own id. Two similar sets share a
+    shingle of their prefixes, so only prefix shingles found in several groups are joined; pairs
+    are dropped that sizes and places in the prefix rule out, and the sets of the others are compared.
+    """
+    ship(df.sparkSession)
+    order = common_shingles(df, words, text_col)
+    sort = np.argsort(order)
+    common, place = order[sort], sort
+
+    def prefixed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_hashes(t, words, False) for t in batch.pop("text")]
+            digests = [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets]
+            heads = [prefix(s, common, place, least).view(np.int64) for s in sets]
+            yield batch.assign(digest=digests, n=[len(s) for s in sets], head=heads)
+
+    named = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    heads = stored(named.mapInPandas(prefixed, "id long, digest long, n long, head array<long>").where("n > 0"), "prefixes")
+    inside, own = split_by(heads, "id", roots)
+    root = F.coalesce("root", "id").alias("root")
+    rooted = inside.join(roots, "id", "left").select(*heads.columns, root).union(own.withColumn("root", F.col("id")))
+    spread = rooted.select("root", F.explode("head").alias("h")).groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    several = stored(spread.where("low <> high").select("h"), "several")
+    if several.isEmpty():
+        return df.sparkSession.createDataFrame([], "a long, b long")
+    maybe = split_by(rooted.select("id", "digest", "n", "root", F.posexplode("head").alias("at", "h")), "h", several, "h")[0]
+    hits = maybe.join(several, "h", "left_semi").groupBy("h", "digest", "n", "at", "root").agg(F.min("id").alias("id"))
+    hits = stored(hits, "hits")
+    other = hits.select(F.col("h"), *(F.col(c).alias(f"{c}_") for c in hits.columns if c != "h"))
+    small, large = F.least("n", "n_"), F.greatest("n", "n_")
+    shared = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_"))  # holds at the first shared shingle
+    may = (small >= F.lit(least) * large - 1e-6) & (shared >= F.lit(least / (1 + least)) * (small + large) - 1e-6)
+    pairs = hits.join(other, "h").where("root < root_").where(may).select("id", "id_", "root", "root_").distinct()
+    pairs = stored(pairs, "pairs")
+    both = stored(pairs.select("id").union(pairs.select("id_")).distinct(), "paired")
+    texts = stored(split_by(named, "id", both)[0].join(both, "id", "left_semi").distinct(), "paired_texts")
+    sides = pairs.join(texts, "id").join(texts.select(F.col("id").alias("id_"), F.col("text").alias("text_")), "id_")
+
+    def agreed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = []
+            for text, text_ in zip(batch["text"], batch["text_"]):
+                x, y = shingle_hashes(text, words, False), shingle_hashes(text_, words, False)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(common > 0 and common >= least * (len(x) + len(y) - common))
+            yield pd.DataFrame({"a": batch["root_"], "b": batch["root"]})[np.array(near, bool)]
+
+    return sides.select("root", "root_", "text", "text_").mapInPandas(agreed, "a long, b long")
+
+
 def drop_near_copies(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of near copies, all columns: the one with the smallest id.
 
     Groups are chains of texts whose sets of five-word shingles have a Jaccard similarity of ``least``
-    or more: the index proposes, the sets decide. Texts without words are copies of each other. Rows
+    or more: the index proposes, the sets decide, and similar texts that the index leaves apart are
+    found by shingles of their prefixes. Texts without words are copies of each other. Rows
     with a NULL id stay. Of rows with one id, one stays.
     """
     names = [*_lanes(SIMILAR["lanes"]), "rank"]
@@ -346,7 +433,12 @@ def drop_near_copies(df: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     linked = components(links).withColumnRenamed("component", "root")
     classes = stored(distinct.join(linked, "id", "left").select(*names, F.coalesce("root", "id").alias("root")), "classes")
     rows = groups.join(classes, names).groupBy("id").agg(F.count("*").alias("n"), F.min("root").alias("root"))
-    rows = stored(rows.where("root <> id or n > 1"), "copies")
+    rows = stored(rows.where("root <> id or n > 1"), "grouped")
+    missed = missed_links(df, rows.where("root <> id").select("id", "root"), SIMILAR["words"], least, id_col, text_col)
+    late = components(missed).select(F.col("id").alias("old"), F.col("component").alias("new"))
+    known = rows.join(late, rows["root"] == late["old"], "left").select("id", "n", F.coalesce("new", "root").alias("root"))
+    lone = late.join(rows, late["old"] == rows["id"], "left_anti").select(F.col("old").alias("id"), F.lit(1).cast("long").alias("n"), F.col("new").alias("root"))
+    rows = stored(known.union(lone).where("root <> id or n > 1"), "copies")
     repeated = stored(rows.where("root = id").select(F.col("id").alias(id_col)), "repeated")
     maybe, kept = split_by(df, id_col, rows)
     kept = kept.union(maybe.join(rows.select(F.col("id").alias(id_col)), id_col, "left_anti").select(df.columns))

@@ -144,6 +144,42 @@ def test_one_of_each_group_stays(spark, documents, monkeypatch):
     assert expected <= got and len(got - expected) <= 1  # nothing too much goes; the index finds 98% of pairs at 0.8
 
 
+def test_short_pairs_at_the_threshold_lose_nothing(spark, documents, monkeypatch):
+    """Groups of two that bands and radius miss often, among texts that share a passage; equal to brute force."""
+    monkeypatch.setattr(simhash, "COMMON_SAMPLE", 300)
+    rng = random.Random(11)
+    passage, texts = text(rng, 30), []
+    for i in range(150):
+        t = text(rng, 8)
+        texts += [t, f"{t} more"]  # 4 of 5 shingles
+        t = text(rng, 19)
+        texts += [t, " ".join(["new", *t.split()[1:], "end"])]  # 14 of 16
+        texts += [f"{text(rng, rng.randrange(5, 60))} {passage}", text(rng, rng.randrange(1, 4))]
+    rng.shuffle(texts)
+    sets = [set(shingle_hashes(t, 5, False).tolist()) for t in texts]
+    by_shingle = {}
+    for i, s in enumerate(sets):
+        for h in s:
+            by_shingle.setdefault(h, []).append(i)
+    candidates = {(i, j) for ids in by_shingle.values() for i in ids for j in ids if j < i}
+    pairs = [(i, j) for i, j in candidates if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    expected = set(np.unique(union(len(sets), pairs)).tolist())
+    assert {r["doc_id"] for r in drop_near_copies(documents([(i, t, "s") for i, t in enumerate(texts)])).collect()} == expected
+
+
+@pytest.mark.parametrize("common", [0, 40])
+def test_prefixes_of_similar_sets_meet(common):
+    rng = np.random.default_rng(common)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        both = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        x, y = np.unique(both[:n]), np.unique(np.r_[both[: n - n // 9], both[n : n + int(rng.integers(0, n // 9 + 1))]])
+        known = np.sort(rng.choice(both, common)) if common else both[:0]
+        place = rng.permutation(len(known))
+        if len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
+            assert len(np.intersect1d(simhash.prefix(x, known, place, 0.8), simhash.prefix(y, known, place, 0.8)))
+
+
 def test_repeated_rows_and_null_ids(spark, documents):
     rows = [(1, "a b c d e f", "s"), (1, "a b c d e f", "s"), (2, "a b c d e f", "s"), (None, "a b c d e f", "s"), (3, None, "s")]
     got = sorted((r["doc_id"] or 0) for r in drop_near_copies(documents(rows)).collect())
