@@ -65,67 +65,97 @@ def _is_boilerplate(name: str, rest: str, in_text: bool) -> bool:
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(kind, content, in the marked element, in boilerplate); kinds: text, open, close.
-
-    Elements that are never closed end with those around them; an ``article`` or ``main`` ends
-    boilerplate that was left open before it.
+def _never_closed(found: list[re.Match]) -> set[int]:
+    """Places in the list of the opening tags that no closing tag of their name belongs to."""
+    waiting: dict[str, list[int]] = {}
+    for i, tag in enumerate(found):
+        name = (tag["name"] or "").lower()
+        if tag["close"]:
+            if waiting.get(name):
+                waiting[name].pop()
+        elif name:
+            waiting.setdefault(name, []).append(i)
+    return {i for places in waiting.values() for i in places}
+
+
+def tokens(page: str, ending: bool = False) -> Iterator[tuple[str, str, bool, bool, tuple]]:
+    """(kind, content, in the marked element, in boilerplate, place); kinds: text, open, close.
+
+    The place of words is the innermost element around them that isn't inline, and whether they are
+    a link. Elements that are never closed end with those around them; an ``article`` or ``main`` ends
+    boilerplate before it that is never closed, with ``ending`` any boilerplate that is open.
     """
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, int]] = []
     held: Counter[str] = Counter()  # open elements by name
+    blocks: list[str] = []  # open elements that aren't inline
     marked = skipped = at = 0
-    for found in _TOKEN.finditer(page):
+    row = list(_TOKEN.finditer(page))
+    never = _never_closed(row)
+
+    def place() -> tuple:
+        return (blocks[-1] if blocks else "", held["a"] > 0)
+
+    for i, found in enumerate(row):
         if found.start() > at:
-            yield "text", page[at : found.start()], marked > 0, skipped > 0
+            yield "text", page[at : found.start()], marked > 0, skipped > 0, place()
         at = found.end()
         name = (found["name"] or "").lower()
         if not name:
             continue
         if found["close"]:
-            yield "close", name, marked > 0, skipped > 0
+            yield "close", name, marked > 0, skipped > 0, ()
             while held[name]:
-                popped, skip = stack.pop()
+                popped, skip, _ = stack.pop()
                 held[popped] -= 1
+                if popped not in INLINE:
+                    blocks.pop()
                 skipped -= skip
                 marked -= popped in ("article", "main") and not skip
                 if popped == name:
                     break
             continue
         skip = _is_boilerplate(name, found["rest"], marked > 0)
-        if name in ("article", "main") and not skip and not marked:
-            stack, skipped = [(n, False) for n, _ in stack], 0
-        yield "open", name, marked > 0, skipped > 0 or skip
+        if name in ("article", "main") and not skip and not marked and skipped:
+            stack = [(n, s and not ending and k not in never, k) for n, s, k in stack]
+            skipped = sum(s for _, s, _ in stack)
+        yield "open", name, marked > 0, skipped > 0 or skip, ()
         if name not in VOID and not found["rest"].endswith("/"):
-            stack.append((name, skip))
+            stack.append((name, skip, i))
             held[name] += 1
+            if name not in INLINE:
+                blocks.append(name)
             skipped += skip
             marked += name in ("article", "main") and not skip
     if at < len(page):
-        yield "text", page[at:], marked > 0, skipped > 0
+        yield "text", page[at:], marked > 0, skipped > 0, place()
 
 
-def _is_marked(page: str) -> bool:
-    return re.search(r"<(?:article|main)\b", page, re.I) is not None
+def _is_marked(row: Iterable[tuple]) -> bool:
+    """Whether words stand in an ``article`` or ``main`` that isn't boilerplate."""
+    return any(kind == "text" and marked and not skipped and content.strip() for kind, content, marked, skipped, _ in row)
 
 
 def learn(pages: Iterable[str]) -> dict[tuple, float]:
     """Weights from pages that mark their text: log odds of a word or tag standing in it.
 
     In pages that mark their text, words and tags score by where they stand: words inside positive,
-    words outside negative, tags negative. In other pages a word scores ``DEFAULT_WORD``, and a tag
-    costs what it is learned to cost anywhere, ``DEFAULT_TAG`` at most.
+    words outside negative, tags negative. In other pages a word scores by the element around it
+    and whether it is a link, ``DEFAULT_WORD`` where that was never seen; a tag costs what it is
+    learned to cost anywhere, ``DEFAULT_TAG`` at most.
     """
     inside, outside = Counter(), Counter()
-    for page in filter(_is_marked, pages):
-        for kind, content, marked, skipped in tokens(page):
+    placed_in, placed_out = Counter(), Counter()
+    for row in filter(_is_marked, map(list, map(tokens, pages))):
+        for kind, content, marked, skipped, place in row:
+            if skipped:
+                continue
             if kind == "text":
-                key, n = ("word", marked), len(content.split())
+                n = len(content.split())
+                (inside if marked else outside)[("word", marked)] += n
+                (placed_in if marked else placed_out)[("place", *place)] += n
             else:
-                key, n = ("tag", content, marked), 1
-                if not skipped:
-                    (inside if marked else outside)[("tag", content)] += 1
-            if not skipped:
-                (inside if marked else outside)[key] += n
+                for key in (("tag", content, marked), ("tag", content)):
+                    (inside if marked else outside)[key] += 1
     weights: dict[tuple, float] = {}
     total_in, total_out = sum(inside.values()) + 1, sum(outside.values()) + 1
     for key in {*inside, *outside}:
@@ -137,20 +167,23 @@ def learn(pages: Iterable[str]) -> dict[tuple, float]:
             weights[key] = max(DEFAULT_TAG, min(-LEAST_COST, odds))
         else:
             weights[key] = min(-LEAST_COST, odds)
+    for key in {*placed_in, *placed_out}:
+        weights[key] = max(-CLIP, min(CLIP, log((placed_in[key] + 0.5) / (placed_out[key] + 0.5))))
     return weights
 
 
-def extract(page: str, weights: dict[tuple, float]) -> str:
-    """The text of the best region; empty if no region scores above zero."""
-    known = _is_marked(page)
-    row = list(tokens(page))
+def _best(row: list[tuple], weights: dict[tuple, float], known: bool) -> tuple[int, int]:
+    """The region with the greatest sum, by the weights for pages that mark their text or for others."""
     best = total = 0.0
     start = 0
     region = (0, 0)
-    for i, (kind, content, marked, skipped) in enumerate(row):
+    for i, (kind, content, marked, skipped, place) in enumerate(row):
         if not skipped:
             if kind == "text":
-                weight = weights.get(("word", marked), CLIP if marked else -CLIP) if known else DEFAULT_WORD
+                if known:
+                    weight = weights.get(("word", marked), CLIP if marked else -CLIP)
+                else:
+                    weight = weights.get(("place", *place), DEFAULT_WORD)
                 total += weight * len(content.split())
             elif known:
                 total += weights.get(("tag", content, marked), -LEAST_COST if marked else -CLIP)
@@ -160,8 +193,12 @@ def extract(page: str, weights: dict[tuple, float]) -> str:
             total, start = 0.0, i + 1
         elif total > best:
             best, region = total, (start, i + 1)
+    return region
+
+
+def _joined(row: list[tuple]) -> str:
     parts: list[str] = []
-    for kind, content, _, skipped in row[slice(*region)]:
+    for kind, content, _, skipped, _ in row:
         if kind != "text":
             if content not in INLINE:
                 parts.append("\0")
@@ -171,6 +208,23 @@ def extract(page: str, weights: dict[tuple, float]) -> str:
     return " ".join(filter(None, blocks))
 
 
+def extract(page: str, weights: dict[tuple, float]) -> str:
+    """The text of the best region; empty if no region scores above zero.
+
+    Where the weights for marked pages, then those for others by place, find nothing, every word scores
+    ``DEFAULT_WORD``; at last an ``article`` inside of boilerplate counts as text.
+    """
+    row = list(tokens(page))
+    plain = {key: weight for key, weight in weights.items() if key[0] != "place"}
+    text = _joined(row[slice(*_best(row, weights, True))]) if _is_marked(row) else ""
+    for of_words in (weights, plain):
+        text = text or _joined(row[slice(*_best(row, of_words, False))])
+    if not text and any(kind == "open" and name in ("article", "main") for kind, name, *_ in row):
+        row = list(tokens(page, ending=True))
+        text = _joined(row[slice(*_best(row, weights, True))]) if _is_marked(row) else ""
+    return text
+
+
 def labelled_pages(pages: DataFrame, sample: int = SAMPLE, html_col: str = "html") -> list[str]:
     """About ``sample`` pages, by hash, of those that mark their text; copies once."""
     marked = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)\b")).select(F.col(html_col).alias("html"))

@@ -200,3 +200,33 @@ def test_a_head_that_is_never_closed_hides_nothing():
 def test_names_of_the_layout_hide_nothing(opening):
     page = f"<body class='sidebar'>{opening}<p>The text.</p><article class=comment>mine</article></article></main>"
     assert extract(page, learn([page])) == "The text."
+
+
+@pytest.mark.parametrize("page, wanted", [
+    ("<div class=post><p>The whole text of it.</p></div><article class=comment>reader's words</article>", "The whole text of it."),
+    ("<script>var a = '<article>';</script><div><p>The text here.</p></div>", "The text here."),
+    ("<!-- <main> --><div><p>The text here.</p></div>", "The text here."),
+    ("<div><p>The real text of the page.</p></div><aside><article>teaser words</article></aside>", "The real text of the page."),
+    ("<nav>menu<article><p>The text.</p></article>", "The text."),
+    ("<article></article><div><p>The text here.</p></div>", "The text here."),
+])
+def test_articles_that_are_not_the_text(page, wanted):
+    learned = learn([PAGE.replace("{before}", "").replace("{after}", "<div>other words outside of it</div>")])
+    assert extract(page, learned) == extract(page, learn([])) == wanted
+
+
+def test_pages_of_the_table_without_their_marks(spark):
+    if not Path(DATA).exists():
+        pytest.skip("no test tables")
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    weights = learn(labelled_pages(pages))
+    for row in pages.select("html").collect():
+        unmarked = re.sub(r"<(/?)article>", r"<\1div>", row["html"])
+        assert extract(unmarked, weights) == extract(row["html"], weights)
+
+
+def test_words_score_by_place_on_unmarked_pages():
+    outside = "<div>many words that stand beside the text and are no part of it at all, on every page of the site</div>"
+    page = f"<body>{outside}<article><h1>Head</h1><p>The text of it.</p><p>And more.</p></article>{outside}</body>"
+    unmarked = re.sub(r"<(/?)article>", r"<\1section>", page)
+    assert extract(unmarked, learn([page])) == "Head The text of it. And more."
