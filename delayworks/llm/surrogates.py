@@ -6,7 +6,8 @@ the surrogate depends on all of the entity and the key, keeps its format, script
 passes can be undone: different entities get different surrogates, and one entity has the same one
 everywhere, with nothing to look up. Names are replaced word by word and keep titles and last
 letters, which carry the gender. A check over all entities of the corpus makes sure that no
-surrogate is itself an entity of the corpus, and takes another tweak of the key if one is.
+surrogate is itself an entity of the corpus or another one's surrogate: an entity for which it is takes
+tweaks of the key of its own until it isn't.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 
 from delayworks.llm.tables import free_name, stored
 
-TWEAKS = 4
+TWEAKS = 64
+#: From this tweak on, surrogates of names, emails and phones get longer: few short ones may be free.
+LONGER = 4
 
 # The letters that move within their class, by script and case.
 _LOWER = (
@@ -157,7 +160,15 @@ def surrogate(value: Column, key: str, tweak: int = 0) -> Column:
         rest = _once(F.array_join(moved, " "), lambda body: F.concat(body, tail(body)))
         return F.when(p["kind"] == "ip", _ip(p["body"], salt)).otherwise(F.concat(p["head"], rest))
 
-    typed = F.struct(kind_of(value).alias("kind"), value.alias("value"))
+    kind, whole = kind_of(value), value
+    if more := max(0, tweak - LONGER + 1):
+        whole = (
+            F.when(kind == "name", F.regexp_replace(value, "(.)$", f"{'an' * more}$1"))
+            .when(kind == "email", F.concat(F.lit("an" * more), value))
+            .when(kind == "phone", F.concat(value, F.lit("00" * more)))
+            .otherwise(value)
+        )
+    typed = F.struct(kind.alias("kind"), whole.alias("value"))
     return _once(typed, lambda p: _once(cut(p), made))
 
 
@@ -174,27 +185,69 @@ def collisions(found: DataFrame, key: str, tweak: int) -> int:
     return same + made.join(found.select(F.col("value").alias("made")), "made", "left_semi").count()
 
 
+def _judged(made: DataFrame, used: DataFrame) -> DataFrame:
+    """(value, made, bad): bad where the surrogate is one of the used ones, or that of a smaller value."""
+    first = made.groupBy("made").agg(F.min("value").alias("first"))
+    hit = used.join(made.select("made"), "made", "left_semi").distinct().withColumn("hit", F.lit(True))
+    bad = F.coalesce("hit", F.lit(False)) | (F.col("value") != F.col("first"))
+    return stored(made.join(first, "made").join(hit, "made", "left").select("value", "made", bad.alias("bad")), "judged")
+
+
+def exceptions(found: DataFrame, key: str) -> DataFrame | None:
+    """(value, made) of the entities (value) whose surrogate isn't that of tweak 0; None without any.
+
+    Only entities whose surrogate is taken get another tweak, round by round, until it is neither an
+    entity nor another surrogate.
+    """
+    value = F.col("value")
+    every = _judged(found.select(value, surrogate(value, key).alias("made")), found.select(value.alias("made")))
+    pending = every.where("bad").select("value")
+    used = found.select(value.alias("made")).union(every.select("made"))
+    settled = None
+    for tweak in range(1, TWEAKS):
+        if pending.isEmpty():
+            return settled
+        judged = _judged(stored(pending.select(value, surrogate(value, key, tweak).alias("made")), "tweaked"), used)
+        good = judged.where("not bad").select("value", "made")
+        settled = settled.union(good) if settled else good
+        used = used.union(good.select("made"))
+        pending = judged.where("bad").select("value")
+    if not pending.isEmpty():
+        raise RuntimeError(f"no free surrogates for {pending.count()} entities")
+    return settled
+
+
 def pseudonymised(df: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """The rows with surrogates in the text; NULL stays NULL. ``count_col`` gets the number of entities.
 
-    The tweak of the key is the first one without collisions over the whole corpus, or the one with
-    the fewest. Two passes over the text; entities are shuffled once, distinct per task.
+    No surrogate is an entity of the corpus or the surrogate of
+    another one. Two passes over the text; entities are shuffled once, distinct per task. If some need
+    a tweak of their own, these are joined to the texts that hold them.
     """
     text = F.col(text_col).cast("string")
     found = df.select(F.explode(entities(text)).alias("value")).distinct()
     found = stored(found, "entities")
-    counts = []
-    for tweak in range(TWEAKS):
-        counts.append(collisions(found, key, tweak))
-        if not counts[-1]:
-            break
-    tweak = counts.index(min(counts))
-    held = free_name(df, "found")
-    pieces = F.split(text, ENTITY, -1)
-    made = F.concat(F.transform(held, lambda v: surrogate(v, key, tweak)), F.array(F.lit("")))
-    woven = F.array_join(F.zip_with(pieces, made, lambda piece, new: F.concat(piece, new)), "")
-    columns = {text_col: F.when(F.size(held) > 0, woven).otherwise(text)}
-    if count_col:
-        columns[count_col] = F.size(held).cast("long")
+    special = exceptions(found, key)
     names = [c for c in df.columns if c != count_col] + ([count_col] if count_col else [])
-    return df.withColumn(held, entities(text)).withColumns(columns).select(names)
+    held, made, own = (free_name(df, c) for c in ("found", "made", "own"))
+
+    def woven(rows: DataFrame, new) -> DataFrame:
+        rows = rows.withColumn(made, F.transform(held, new))
+        pieces = F.split(text, ENTITY, -1)
+        joined = F.array_join(F.zip_with(pieces, F.concat(made, F.array(F.lit(""))), lambda piece, new: F.concat(piece, new)), "")
+        columns = {text_col: F.when(F.size(held) > 0, joined).otherwise(text)}
+        if count_col:
+            columns[count_col] = F.size(held).cast("long")
+        return rows.withColumns(columns).select(names)
+
+    rows = df.withColumn(held, entities(text))
+    if special is None:
+        return woven(rows, lambda v: surrogate(v, key))
+    digest, mark = F.sha2(text, 256), free_name(df, "digest")
+    holders = df.select(digest.alias(mark), F.explode(entities(text)).alias("value")).distinct()
+    fixes = holders.join(special, "value").groupBy(mark).agg(F.collect_list(F.struct("value", "made")).alias(own))
+    some = rows.where(F.size(held) > 0).withColumn(mark, digest).join(stored(fixes, "fixes"), mark, "left")
+    fixed = lambda v: F.get(F.filter(F.coalesce(F.col(own), F.array().cast(fixes.schema[own].dataType)), lambda p: p["value"] == v), F.lit(0))["made"]
+    return woven(some, lambda v: F.coalesce(fixed(v), surrogate(v, key))).union(
+        woven(rows.where(F.size(held) == 0), lambda v: surrogate(v, key))
+    )

@@ -151,6 +151,19 @@ def test_a_collision_with_a_real_entity_takes_another_tweak(spark, documents):
     assert not any(v in t for v in (value, first) for t in texts) and texts[0] != texts[1]
 
 
+def test_no_surrogate_is_a_real_entity_or_another_surrogate(spark, documents):
+    """All two-letter names with one last letter are taken, so a shift within them can only give real ones."""
+    names = [f"Mr {c.upper()}i" for c in "bcdfghjklmnpqrstvwxyz"]
+    others = [f"a{i}@example.com" for i in range(20)]
+    rows = [(i, f"see {n}; and {o}.", "s") for i, (n, o) in enumerate(zip(names, others))]
+    rows += [(100 + i, f"again {n}; here", "s") for i, n in enumerate(names)] + [(200, "nothing", "s"), (201, None, "s")]
+    got = {r["doc_id"]: r for r in pseudonymised(documents(rows), "k", count_col="n").collect()}
+    assert len(got) == len(rows) and got[200]["text"] == "nothing" and got[201]["text"] is None and got[0]["n"] == 2
+    made = [re.fullmatch("again (.*); here", got[100 + i]["text"])[1] for i in range(len(names))]
+    assert len(set(made)) == len(names) and not set(made) & set(names)
+    assert all(got[i]["text"].startswith(f"see {m};") for i, m in enumerate(made[:20]))
+
+
 def test_classes_do_not_overlap():
     letters = "".join(CLASSES)
     assert len(letters) == len(set(letters))
