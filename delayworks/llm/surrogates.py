@@ -217,10 +217,34 @@ def exceptions(found: DataFrame, key: str) -> DataFrame | None:
     return settled
 
 
+def _name_words(held: Column, made: Column) -> Column:
+    """(word, new) of the capitalised words of the names found."""
+    runs = lambda v: F.regexp_extract_all(F.regexp_replace(v, rf"^{_TITLE} ", ""), F.lit(r"\p{L}+"), F.lit(0))
+    pairs = F.zip_with(
+        held,
+        made,
+        lambda v, m: F.when(
+            v.rlike(rf"^{_TITLE} {_CAPITAL}"),
+            F.slice(F.zip_with(runs(v), runs(m), lambda w, n: F.struct(w.alias("word"), n.alias("new"))), F.lit(1), F.size(runs(v))),
+        ),
+    )
+    words = F.flatten(F.filter(pairs, lambda p: p.isNotNull()))
+    return F.array_distinct(F.filter(words, lambda p: p["word"].rlike(r"^\p{Lu}\p{L}")))
+
+
+def _mentions_replaced(piece: Column, words: Column) -> Column:
+    """The text with the words of names replaced where they stand alone."""
+    old = F.transform(words, lambda p: p["word"])
+    runs = F.regexp_extract_all(piece, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    moved = F.transform(runs, lambda r: F.coalesce(F.get(words, (F.array_position(old, r) - 1).cast("int"))["new"], r))
+    return F.when(F.size(words) > 0, F.array_join(moved, "")).otherwise(piece)
+
+
 def pseudonymised(df: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """The rows with surrogates in the text; NULL stays NULL. ``count_col`` gets the number of entities.
 
-    No surrogate is an entity of the corpus or the surrogate of
+    The words of a name found in a text are also replaced where they stand without a title in that
+    text; these mentions aren't counted. No surrogate is an entity of the corpus or the surrogate of
     another one. Two passes over the text; entities are shuffled once, distinct per task. If some need
     a tweak of their own, these are joined to the texts that hold them.
     """
@@ -229,11 +253,11 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text", count_col: st
     found = stored(found, "entities")
     special = exceptions(found, key)
     names = [c for c in df.columns if c != count_col] + ([count_col] if count_col else [])
-    held, made, own = (free_name(df, c) for c in ("found", "made", "own"))
+    held, made, words, own = (free_name(df, c) for c in ("found", "made", "words", "own"))
 
     def woven(rows: DataFrame, new) -> DataFrame:
-        rows = rows.withColumn(made, F.transform(held, new))
-        pieces = F.split(text, ENTITY, -1)
+        rows = rows.withColumn(made, F.transform(held, new)).withColumn(words, _name_words(F.col(held), F.col(made)))
+        pieces = F.transform(F.split(text, ENTITY, -1), lambda piece: _mentions_replaced(piece, F.col(words)))
         joined = F.array_join(F.zip_with(pieces, F.concat(made, F.array(F.lit(""))), lambda piece, new: F.concat(piece, new)), "")
         columns = {text_col: F.when(F.size(held) > 0, joined).otherwise(text)}
         if count_col:

@@ -164,6 +164,16 @@ def test_no_surrogate_is_a_real_entity_or_another_surrogate(spark, documents):
     assert all(got[i]["text"].startswith(f"see {m};") for i, m in enumerate(made[:20]))
 
 
+def test_later_mentions_of_a_name_follow_it(spark, documents):
+    text = "Dr. Jane Smith called. Smith agreed, Smith's aunt and Jane signed; Smithson and smith did not."
+    rows = [(1, text, "s"), (2, "Smith and Jane have no title here, Mr. Brown has.", "s")]
+    one, two = (r["text"] for r in pseudonymised(documents(rows), "k").orderBy("doc_id").collect())
+    first, last = re.match(r"Dr\. (\w+) (\w+) called", one).groups()
+    assert first != "Jane" and last != "Smith"
+    assert one == f"Dr. {first} {last} called. {last} agreed, {last}'s aunt and {first} signed; Smithson and smith did not."
+    assert two.startswith("Smith and Jane have no title here, Mr. ")
+
+
 def test_classes_do_not_overlap():
     letters = "".join(CLASSES)
     assert len(letters) == len(set(letters))
