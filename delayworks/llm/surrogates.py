@@ -51,7 +51,7 @@ KINDS = {
 #: All kinds begin at the beginning of a word or number, which spares most places of a text the tries.
 ENTITY = rf"(?<![{_LETTER}0-9])(?=[{_LETTER}0-9+(])(?:{'|'.join(f'(?:{pattern})' for pattern in KINDS.values())})"
 #: Every text with an entity has one of these; a plain search for them spares the others the rest.
-HINT = rf"[@0-9]|[=:]\s{{0,3}}\"?[A-Za-z+/_.-]{{8}}|(?=[A-Zгκ]){_TITLE} "
+HINT = rf"[@0-9]|AKIA|gh[pousr]_|sk-|[=:]\s{{0,3}}\"?[A-Za-z+/_.-]{{8}}|(?=[A-Zгκ]){_TITLE} "
 _SECRET_HEAD = r"^(AKIA|gh._|sk-|[A-Za-z_-]+\s{0,3}[=:]\s{0,3}\"?)"
 
 
