@@ -269,6 +269,7 @@ def near_groups(
 SIMILAR = {"words": 5, "lanes": 4, "radius": 58, "bands": sampled_bands(4, 40), "repeats": False}
 TILE = 256
 CELLS_AT_ONCE = 1 << 22
+ROWS_AT_ONCE = 256
 COMMON_SAMPLE = 20_000
 COMMON_MOST = 500_000
 
@@ -335,6 +336,13 @@ def verified_links(df: DataFrame, loose: DataFrame, words: int, least: float, id
     return cells.drop("other").groupBy("component", "low", "high").applyInPandas(of_cell, "a long, b long")
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Few rows at a time, so that a worker holds the sets of few texts."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.iloc[at : at + ROWS_AT_ONCE].copy()
+
+
 def common_shingles(df: DataFrame, words: int, text_col: str) -> np.ndarray:
     """Hashes of shingles that stand in two or more of about ``COMMON_SAMPLE`` distinct texts, the rarer first.
 
@@ -374,15 +382,19 @@ def missed_links(df: DataFrame, roots: DataFrame, words: int, least: float, id_c
     ship(df.sparkSession)
     order = common_shingles(df, words, text_col)
     sort = np.argsort(order)
-    common, place = order[sort], sort
+    common, place = order[sort], sort.astype(np.int32)
 
     def prefixed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingle_hashes(t, words, False) for t in batch.pop("text")]
             digests = [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets]
             heads = [prefix(s, common, place, least).view(np.int64) for s in sets]
             yield batch.assign(digest=digests, n=[len(s) for s in sets], head=heads)
 
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in _slices(batches):
+            yield batch.assign(set=[shingle_hashes(t, words, False).view(np.int64) for t in batch.pop("text")])
+
     named = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     heads = stored(named.mapInPandas(prefixed, "id long, digest long, n long, head array<long>").where("n > 0"), "prefixes")
     inside, own = split_by(heads, "id", roots)
@@ -402,19 +414,12 @@ def missed_links(df: DataFrame, roots: DataFrame, words: int, least: float, id_c
     pairs = hits.join(other, "h").where("root < root_").where(may).select("id", "id_", "root", "root_").distinct()
     pairs = stored(pairs, "pairs")
     both = stored(pairs.select("id").union(pairs.select("id_")).distinct(), "paired")
-    texts = stored(split_by(named, "id", both)[0].join(both, "id", "left_semi").distinct(), "paired_texts")
-    sides = pairs.join(texts, "id").join(texts.select(F.col("id").alias("id_"), F.col("text").alias("text_")), "id_")
-
-    def agreed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            near = []
-            for text, text_ in zip(batch["text"], batch["text_"]):
-                x, y = shingle_hashes(text, words, False), shingle_hashes(text_, words, False)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(common > 0 and common >= least * (len(x) + len(y) - common))
-            yield pd.DataFrame({"a": batch["root_"], "b": batch["root"]})[np.array(near, bool)]
-
-    return sides.select("root", "root_", "text", "text_").mapInPandas(agreed, "a long, b long")
+    paired = split_by(named, "id", both)[0].join(both, "id", "left_semi")
+    sets = stored(paired.mapInPandas(shingled, "id long, set array<long>").distinct(), "paired_sets")
+    sides = pairs.join(sets, "id").join(sets.select(F.col("id").alias("id_"), F.col("set").alias("set_")), "id_")
+    met = F.size(F.array_intersect("set", "set_"))
+    near = (met > 0) & (met >= F.lit(least) * (F.size("set") + F.size("set_") - met))
+    return sides.where(near).select(F.col("root_").alias("a"), F.col("root").alias("b"))
 
 
 def drop_near_copies(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
