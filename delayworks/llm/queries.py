@@ -12,6 +12,7 @@ from delayworks.llm.bloom_cascade import judge
 from delayworks.llm.bpe import Tokenizer, encoded
 from delayworks.llm.line_frequency import verdicts
 from delayworks.llm.main_text import labelled_pages, learn, main_text
+from delayworks.llm.periodic_runs import periodic_runs
 from delayworks.llm.rp_forest import near_vectors
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
@@ -117,6 +118,37 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_periodic_ends(documents: DataFrame) -> DataFrame:
+    """Texts as words joined by a space where crc32 of the id is a multiple of ten: from some word on, the
+    first words that follow are repeated to the end."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    rows = documents.select("doc_id", "text", crc.alias("h"), F.when(crc % 10 == 0, words).alias("words"))
+    rows = rows.withColumns({"n": F.size("words"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    whole = """slice(concat(slice(words, 1, cast(a AS int)), flatten(array_repeat(
+        slice(words, cast(a + 1 AS int), cast(p AS int)), cast((n - a) div p + 1 AS int)))), 1, n)"""
+    text = F.when(F.col("words").isNotNull() & (F.col("n") > 0), F.array_join(F.expr(whole), " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periodic_ends(table(spark, sf_dir, "documents")))
+    longer = lambda best, run: run["length"] * best["period"] > best["length"] * run["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, run: F.when(longer(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_projection_forest": op1_projection_forest,
     "op2_line_frequency": op2_line_frequency,
@@ -128,5 +160,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_weak_toxicity": op9_weak_toxicity,
     "op10_water_filling": op10_water_filling,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
