@@ -116,8 +116,44 @@ FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
     LEFT JOIN extra x ON s.source IS NOT DISTINCT FROM x.source
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SIGNATURE_SEARCH = rf"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{TERM}')) AS term FROM documents
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sizes
+), counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{TERM}')) AS term FROM benchmark
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, corpus GROUP BY term, documents
+), scores AS (
+    SELECT item_id, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // length)))) AS BIGINT) AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+_EXACT_STREAM = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_line_frequency": _LINE_FREQUENCY,
     "op6_bloom_cascade": _BLOOM_CASCADE,
     "op10_water_filling": _WATER_FILLING,
+    "op12_signature_search": _SIGNATURE_SEARCH,
+    "op13_exact_stream": _EXACT_STREAM,
 }

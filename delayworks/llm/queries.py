@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from delayworks.llm import subword_classifier, weak_toxicity
 from delayworks.llm.bloom_cascade import judge
 from delayworks.llm.bpe import Tokenizer, encoded
+from delayworks.llm.exact_stream import decisions, take
 from delayworks.llm.line_frequency import verdicts
 from delayworks.llm.main_text import labelled_pages, learn, main_text
 from delayworks.llm.periodic_runs import periodic_runs
 from delayworks.llm.rp_forest import near_vectors
+from delayworks.llm.signature_search import search
 from delayworks.llm.simhash import near_groups
 from delayworks.llm.subword_classifier import held_out, labelled_sample, scored
 from delayworks.llm.surrogates import pseudonymised
 from delayworks.llm.tables import table
 from delayworks.llm.water_filling import repetitions, word_count
+from delayworks.scratch import scratch_dir
 
 URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
 #: Hosts that the method blocks where no rule fits: the known spam names under each domain.
@@ -149,6 +152,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_exact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "exact")
+    # as a pattern, the path may name a file or a folder of files
+    take(spark, f"{sf_dir}/documents.parque[t]", folder, table(spark, sf_dir, "documents").schema)
+    return decisions(spark, folder).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_projection_forest": op1_projection_forest,
     "op2_line_frequency": op2_line_frequency,
@@ -161,5 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_weak_toxicity": op9_weak_toxicity,
     "op10_water_filling": op10_water_filling,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_signature_search": op12_signature_search,
+    "op13_exact_stream": op13_exact_stream,
     "pipeline": corpus_pipeline.run,
 }

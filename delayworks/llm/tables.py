@@ -21,13 +21,13 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join([_ROOT, *filter(None, paths)])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written as Parquet to the shared scratch folder, and read again.
+def stored(df: DataFrame, name: str, **options: int) -> DataFrame:
+    """The frame written as Parquet to the shared scratch folder, and read again; ``options`` are the writer's.
 
     It cuts the lineage: what follows survives lost executors without repeating the work.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -21,6 +21,8 @@ COLUMNS = {
     "op9_weak_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op10_water_filling": ["doc_id", "size", "source_size", "target", "taken"],
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_signature_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_exact_stream": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "pipeline": ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
 }
 
