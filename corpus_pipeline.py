@@ -30,8 +30,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return drop_near_copies(docs)
+    """One document of each group of SimHash neighbours: three-word shingles, three bits at most."""
+    return drop_near_copies(docs, words=3, radius=3)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

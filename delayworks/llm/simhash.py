@@ -9,7 +9,6 @@ the radius. Nodes whose members are one class already are not compared again.
 """
 
 from collections.abc import Iterator, Sequence
-from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -18,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.bloom_cascade import split_by
-from delayworks.llm.components import components, forest, merge_labels
-from delayworks.llm.tables import drawn, ship, stored
+from delayworks.llm.components import components, merge_labels
+from delayworks.llm.tables import ship, stored
 
 SEED = 42
 FAN = 8
@@ -32,16 +31,6 @@ Band = tuple[tuple[int, int, int], ...]
 BLOCKS: tuple[Band, ...] = tuple(((0, 16 * i, 16),) for i in range(4))
 
 
-def sampled_bands(words: int, count: int, width: int = 7) -> tuple[Band, ...]:
-    """Bands of two pieces each; any two bands share one piece at most."""
-    pieces = [(w, s, width) for w in range(words) for s in range(0, 64 - width + 1, width)]
-    n = len(pieces)
-    pairs = [(i, (i + step) % n) for step in range(1, n // 2) for i in range(n)]
-    if count > len(pairs):
-        raise ValueError(f"{words} words give {len(pairs)} bands at most")
-    return tuple((pieces[i], pieces[j]) for i, j in pairs[:count])
-
-
 def shingle_hashes(text: str | None, words: int, repeats: bool = True) -> np.ndarray:
     """XXH64 of each shingle of ``words`` words; fewer words make one shingle, none make none."""
     found = (text or "").encode().lower().split()
@@ -263,187 +252,18 @@ def near_groups(
     return prints.join(classes, names, "left").select("id", *names, "component")
 
 
-#: For shingle sets at a Jaccard similarity of 0.8: fingerprints differ in 15% of 256 bits, with a
-#: deviation of 6 bits. Bands and radius miss some pairs near the threshold, more of short texts;
-#: ``missed_links`` finds what they miss.
-SIMILAR = {"words": 5, "lanes": 4, "radius": 58, "bands": sampled_bands(4, 40), "repeats": False}
-TILE = 256
-CELLS_AT_ONCE = 1 << 22
-ROWS_AT_ONCE = 256
-COMMON_SAMPLE = 20_000
-COMMON_MOST = 500_000
-
-
-def similar(sets: Sequence[np.ndarray], one: np.ndarray, other: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i of ``one``, j of ``other``) of sets whose Jaccard similarity is ``least`` or more.
-
-    Sets are rows of a table of 0 and 1, one column a shingle; common shingles come from its product
-    with itself, some columns at a time.
-    """
-    sizes = np.array([len(s) for s in sets])
-    which = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)]), return_inverse=True)[1]
-    row = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(which, kind="stable")
-    which, row = which[order], row[order]
-    common = np.zeros((len(one), len(other)), np.float32)
-    step = max(1, CELLS_AT_ONCE // len(sets))
-    last = int(which[-1]) + 1 if len(which) else 0
-    for at in range(0, last, step):
-        low, high = np.searchsorted(which, (at, at + step))
-        table = np.zeros((len(sets), step), np.float32)
-        table[row[low:high], which[low:high] - at] = 1
-        common += table[one] @ table[other].T
-    either = sizes[one][:, None] + sizes[other][None, :] - common
-    i, j = np.nonzero((common >= least * either - 1e-3) & (either > 0))
-    exact = common[i, j].astype(np.float64) >= least * either[i, j].astype(np.float64)
-    return one[i[exact]], other[j[exact]]
-
-
-def verified_links(df: DataFrame, loose: DataFrame, words: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that join the similar texts of each loose group; ``loose`` has (id, component).
-
-    A group is compared tile by tile, so no task holds more than two tiles; texts outside of
-    groups aren't moved.
-    """
-    # stored, so that Spark can split the join at a large group
-    sizes = stored(loose.groupBy("component").count().where("count > 1"), "sizes")
-    members = loose.join(sizes, "component").select("id", "component", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
-    members = stored(members, "members")
-    named = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = split_by(named, "id", members)[0].join(members, "id").groupBy("id", "component", "tiles").agg(F.min("text").alias("text"))
-
-    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_hashes(t, words, False).view(np.int64) for t in batch.pop("text")]
-            yield batch.assign(shingles=sets)
-
-    schema = "id long, component long, tiles int, shingles array<long>"
-    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    cells = (
-        texts.mapInPandas(shingled, schema)
-        .select("id", "component", "shingles", tile.alias("tile"), other.alias("other"))
-        .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
-    )
-
-    def of_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        ids, at = rows["id"].to_numpy(), rows["tile"].to_numpy()
-        one, other = np.flatnonzero(at == key[1]), np.flatnonzero(at == key[2])
-        i, j = similar(list(rows["shingles"]), one, other, least)
-        a, b = forest(ids[i], ids[j])
-        return pd.DataFrame({"a": a, "b": b})
-
-    return cells.drop("other").groupBy("component", "low", "high").applyInPandas(of_cell, "a long, b long")
-
-
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Few rows at a time, so that a worker holds the sets of few texts."""
-    for batch in batches:
-        for at in range(0, len(batch), ROWS_AT_ONCE):
-            yield batch.iloc[at : at + ROWS_AT_ONCE].copy()
-
-
-def common_shingles(df: DataFrame, words: int, text_col: str) -> np.ndarray:
-    """Hashes of shingles that stand in two or more of about ``COMMON_SAMPLE`` distinct texts, the rarer first.
-
-    They order the shingles only, so a bounded sample does: no link depends on it.
-    """
-    texts = df.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingle_hashes(t, words, False) for t in batch["text"].drop_duplicates()]
-            yield pd.DataFrame({"h": np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)})
-
-    counted = drawn(texts, COMMON_SAMPLE, "text").distinct().mapInPandas(hashed, "h long").groupBy("h").count()
-    top = counted.where("count > 1").orderBy(F.desc("count"), "h").limit(COMMON_MOST).toPandas()
-    return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
-
-
-def prefix(hashes: np.ndarray, common: np.ndarray, place: np.ndarray, least: float) -> np.ndarray:
-    """The first hashes of a set in one order for all sets, uncommon ones first: of two sets as similar as
-    ``least``, the prefixes share a hash. ``common`` is sorted, ``place`` has the place of each in the order."""
-    size = len(hashes)
-    take = size - ceil(least * size - 1e-9) + 1 if size else 0
-    if not len(common):
-        return hashes[:take]
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-    order = np.where(common[at] == hashes, place[at], -1)
-    return hashes[np.argsort(order, kind="stable")[:take]]
-
-
-def missed_links(df: DataFrame, roots: DataFrame, words: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) of all groups that hold similar texts but are still apart; exact.
+def drop_near_copies(
+    df: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each group of ``near_groups``, all columns: the one with the smallest id.
 
-    ``roots`` has (id, root) of rows whose group isn't called by their own id. Two similar sets share a
-    shingle of their prefixes, so only prefix shingles found in several groups are joined; pairs
-    are dropped that sizes and places in the prefix rule out, and the sets of the others are compared.
-    """
-    ship(df.sparkSession)
-    order = common_shingles(df, words, text_col)
-    sort = np.argsort(order)
-    common, place = order[sort], sort.astype(np.int32)
-
-    def prefixed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _slices(batches):
-            sets = [shingle_hashes(t, words, False) for t in batch.pop("text")]
-            digests = [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets]
-            heads = [prefix(s, common, place, least).view(np.int64) for s in sets]
-            yield batch.assign(digest=digests, n=[len(s) for s in sets], head=heads)
-
-    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _slices(batches):
-            yield batch.assign(set=[shingle_hashes(t, words, False).view(np.int64) for t in batch.pop("text")])
-
-    named = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    heads = stored(named.mapInPandas(prefixed, "id long, digest long, n long, head array<long>").where("n > 0"), "prefixes")
-    inside, own = split_by(heads, "id", roots)
-    root = F.coalesce("root", "id").alias("root")
-    rooted = inside.join(roots, "id", "left").select(*heads.columns, root).union(own.withColumn("root", F.col("id")))
-    spread = rooted.select("root", F.explode("head").alias("h")).groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    several = stored(spread.where("low <> high").select("h"), "several")
-    if several.isEmpty():
-        return df.sparkSession.createDataFrame([], "a long, b long")
-    maybe = split_by(rooted.select("id", "digest", "n", "root", F.posexplode("head").alias("at", "h")), "h", several, "h")[0]
-    hits = maybe.join(several, "h", "left_semi").groupBy("h", "digest", "n", "at", "root").agg(F.min("id").alias("id"))
-    hits = stored(hits, "hits")
-    other = hits.select(F.col("h"), *(F.col(c).alias(f"{c}_") for c in hits.columns if c != "h"))
-    small, large = F.least("n", "n_"), F.greatest("n", "n_")
-    shared = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_"))  # holds at the first shared shingle
-    may = (small >= F.lit(least) * large - 1e-6) & (shared >= F.lit(least / (1 + least)) * (small + large) - 1e-6)
-    pairs = hits.join(other, "h").where("root < root_").where(may).select("id", "id_", "root", "root_").distinct()
-    pairs = stored(pairs, "pairs")
-    both = stored(pairs.select("id").union(pairs.select("id_")).distinct(), "paired")
-    paired = split_by(named, "id", both)[0].join(both, "id", "left_semi")
-    sets = stored(paired.mapInPandas(shingled, "id long, set array<long>").distinct(), "paired_sets")
-    sides = pairs.join(sets, "id").join(sets.select(F.col("id").alias("id_"), F.col("set").alias("set_")), "id_")
-    met = F.size(F.array_intersect("set", "set_"))
-    near = (met > 0) & (met >= F.lit(least) * (F.size("set") + F.size("set_") - met))
-    return sides.where(near).select(F.col("root_").alias("a"), F.col("root").alias("b"))
-
-
-def drop_near_copies(df: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of near copies, all columns: the one with the smallest id.
-
-    Groups are chains of texts whose sets of five-word shingles have a Jaccard similarity of ``least``
-    or more: the index proposes, the sets decide, and similar texts that the index leaves apart are
-    found by shingles of their prefixes. Texts without words are copies of each other. Rows
+    Groups are chains of fingerprints over shingles of ``words`` words that differ in ``radius`` bits at
+    most (three, for ``BLOCKS`` to miss none). Texts without words share the fingerprint zero. Rows
     with a NULL id stay. Of rows with one id, one stays.
     """
-    names = [*_lanes(SIMILAR["lanes"]), "rank"]
-    groups = near_groups(df.select(id_col, text_col), id_col=id_col, text_col=text_col, **SIMILAR)
-    groups = stored(groups.where("id is not null"), "groups")
-    distinct = stored(groups.groupBy(*names).agg(F.min("id").alias("id"), F.min("component").alias("component")), "distinct")
-    links = verified_links(df, distinct.select("id", "component"), SIMILAR["words"], least, id_col, text_col)
-    linked = components(links).withColumnRenamed("component", "root")
-    classes = stored(distinct.join(linked, "id", "left").select(*names, F.coalesce("root", "id").alias("root")), "classes")
-    rows = groups.join(classes, names).groupBy("id").agg(F.count("*").alias("n"), F.min("root").alias("root"))
-    rows = stored(rows.where("root <> id or n > 1"), "grouped")
-    missed = missed_links(df, rows.where("root <> id").select("id", "root"), SIMILAR["words"], least, id_col, text_col)
-    late = components(missed).select(F.col("id").alias("old"), F.col("component").alias("new"))
-    known = rows.join(late, rows["root"] == late["old"], "left").select("id", "n", F.coalesce("new", "root").alias("root"))
-    lone = late.join(rows, late["old"] == rows["id"], "left_anti").select(F.col("old").alias("id"), F.lit(1).cast("long").alias("n"), F.col("new").alias("root"))
-    rows = stored(known.union(lone).where("root <> id or n > 1"), "copies")
+    groups = near_groups(df.select(id_col, text_col), words, radius, id_col=id_col, text_col=text_col)
+    ids = groups.where("id is not null").groupBy("id").agg(F.count("*").alias("n"), F.min("component").alias("root"))
+    rows = stored(ids.where("root <> id or n > 1"), "copies")
     repeated = stored(rows.where("root = id").select(F.col("id").alias(id_col)), "repeated")
     maybe, kept = split_by(df, id_col, rows)
     kept = kept.union(maybe.join(rows.select(F.col("id").alias(id_col)), id_col, "left_anti").select(df.columns))
