@@ -151,6 +151,13 @@ _RESCUED = f"""{_DAMAGED} SELECT {{stamps}}{_COLUMNS},
 
 _DECLARED = f"CAST(NULL AS DATE) AS {FLIGHT_SCHEMA.names[0]}, "
 
+_BOTH_FORMS = f"""{_UNIQUE}, daily AS (
+    {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}
+  ) SELECT *, unnest(['append', 'update']) AS form FROM daily"""
+_FINISHED_DAYS = f"""{_UNIQUE} {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}
+  HAVING min("FlightDate") + INTERVAL 1 DAY
+    <= (SELECT max("FlightDate") FROM flights) - INTERVAL 1 DAY"""
+
 ORACLE_SQL = {
     "stamp_ingestion": _BRONZE,
     "stamp_arrival_time": f"""{_FLIGHTS}
@@ -215,16 +222,17 @@ ORACLE_SQL = {
     ),
     "silver_stream": _DISTINCT_KEYS,
     "silver_stream_bounded": _DISTINCT_KEYS,
+    "silver_stream_stored": _DISTINCT_KEYS,
     "silver_stream_clean": _SILVER_ROWS,
     "gold_stream_append": _GOLD_DAILY_UNCLEANED,
-    "gold_stream_compacted": f"""{_UNIQUE}, daily AS (
-    {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}
-  ) SELECT *, unnest(['append', 'update']) AS form FROM daily""",
+    "gold_stream_compacted": _BOTH_FORMS,
+    "gold_stream_append_partitioned": _BOTH_FORMS,
     "gold_stream_snapshot": _GOLD_DAILY_UNCLEANED,
     "gold_stream_changes": _GOLD_DAILY_UNCLEANED,
-    "gold_stream_event_time": f"""{_UNIQUE} {_grouped("unique_flights", DAILY_ROUTE_KEY, _DAILY_MEASURES)}
-  HAVING min("FlightDate") + INTERVAL 1 DAY
-    <= (SELECT max("FlightDate") FROM flights) - INTERVAL 1 DAY""",
+    "gold_stream_event_time": _FINISHED_DAYS,
+    "gold_stream_late": _FINISHED_DAYS,
+    "gold_stream_late_counts": f"{_UNIQUE} SELECT count(*) AS flights, true AS some_late FROM unique_flights",
+    "gold_stream_arrival": _GOLD_DAILY_UNCLEANED,
     "layers_stream": f"""{_UNIQUE} SELECT {_quoted(DAILY_ROUTE_KEY)}, count(*) AS flights_count
   FROM unique_flights GROUP BY {_quoted(DAILY_ROUTE_KEY)}""",
 }

@@ -44,12 +44,18 @@ from delayworks.scratch import scratch_dir
 from delayworks.sinks import run_available, write_batch, write_stream
 from delayworks.sources import dated_path, infer_stream_schema, read_batch, read_stream
 from delayworks.streaming import (
+    EVENT_TIME_COLUMN,
     bronze_stream,
     compact_changes,
+    compact_silver,
     compact_totals,
     gold_stream,
+    read_arrivals,
     read_bronze,
     read_changes,
+    read_days,
+    read_late,
+    read_silver,
     read_snapshot,
     read_totals,
     silver_stream,
@@ -413,7 +419,28 @@ def q_silver_stream_bounded(spark, sf_dir):
     folder = scratch_dir(spark, "silver-bounded")
     job = _stream_config(landed_by_year(spark, sf_dir, "flights"), folder, file_cap=1)
     many(silver_stream(spark, *job, delay="1 day"))
-    return read_batch(spark, f"{folder}/table").select(*FLIGHT_KEY)
+    return read_silver(spark, f"{folder}/table").select(*FLIGHT_KEY)
+
+
+def q_silver_stream_stored(spark, sf_dir):
+    """Two deliveries of the same flights; the last micro-batch of each is run again."""
+    folder = scratch_dir(spark, "silver-stored")
+    flights, job = read_batch(spark, landed(spark, sf_dir, "flights")), _stream_config(f"{folder}/in", folder)
+    for _ in range(2):
+        _add_files(flights, f"{folder}/in")
+        many(silver_stream(spark, *job, stored=True))
+        _undo_last_commit(spark, f"{folder}/checkpoint")
+        many(silver_stream(spark, *job, stored=True), 1)
+        compact_silver(spark, f"{folder}/table", remove=True)
+    return read_silver(spark, f"{folder}/table").select(*FLIGHT_KEY)
+
+
+def _undo_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Let a stream take its last micro-batch for unfinished."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().isdigit()]
+    files.delete(max(paths, key=lambda p: int(p.getName())), False)
 
 
 def q_silver_stream_clean(spark, sf_dir):
@@ -456,11 +483,62 @@ def q_gold_stream_changes(spark, sf_dir):
     return read_changes(spark, f"{folder}/table")
 
 
+def q_gold_stream_append_partitioned(spark, sf_dir):
+    """Both stored forms under partition columns, a file at a time, folded half-way."""
+    folder = scratch_dir(spark, "gold-partitioned")
+    flights = read_batch(spark, landed(spark, sf_dir, "unique"))
+    how = {"file_cap": 1, "partitionBy": ["OriginCityName"]}
+    jobs = [_stream_config(f"{folder}/in", f"{folder}/{mode}", mode, **how) for mode in ("append", "update")]
+    for part in ("CRSDepTime < 1200", "CRSDepTime >= 1200"):
+        write_batch(flights.where(part).repartition(BATCHES), f"{folder}/in", mode="append")
+        for job in jobs:
+            many(gold_stream(spark, *job))
+        if part == "CRSDepTime < 1200":
+            compact_totals(spark, f"{folder}/append/table", remove=True)
+            compact_changes(spark, f"{folder}/update/table")
+    totals = read_totals(spark, f"{folder}/append/table").withColumn("form", F.lit("append"))
+    return totals.unionByName(read_changes(spark, f"{folder}/update/table").withColumn("form", F.lit("update")))
+
+
 def q_gold_stream_event_time(spark, sf_dir):
     folder, path = scratch_dir(spark, "gold-event-time"), landed_by_year(spark, sf_dir, "unique")
     job = _stream_config(path, folder, file_cap=1, partitionBy=["OriginCityName"])
     many(gold_stream(spark, *job, delay="1 day", by_event_time=True))
-    return read_batch(spark, f"{folder}/table", schema=gold_daily_route(read_batch(spark, path)).schema)
+    return read_days(spark, f"{folder}/table")
+
+
+def _out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Days by event time of flights whose later half comes first; the path of the table."""
+    flights = read_batch(spark, landed(spark, sf_dir, "unique"))
+    (median,) = flights.agg(F.median(F.unix_date("FlightDate"))).first()
+    job = _stream_config(f"{folder}/in", folder, partitionBy=["OriginCityName"])
+    for later in (True, False):
+        _add_files(flights.where((F.unix_date("FlightDate") >= median) == later), f"{folder}/in")
+        many(gold_stream(spark, *job, delay="1 day", by_event_time=True))
+    return f"{folder}/table"
+
+
+def q_gold_stream_late(spark, sf_dir):
+    """Late rows folded into the days they belong to."""
+    return read_days(spark, _out_of_order(spark, sf_dir, scratch_dir(spark, "gold-late")), with_late=True)
+
+
+def q_gold_stream_late_counts(spark, sf_dir):
+    """Every flight is either in the partial sums or among the late rows."""
+    table = _out_of_order(spark, sf_dir, scratch_dir(spark, "gold-late-counts"))
+    timely = read_totals(spark, table).agg(F.sum("flights_count").alias("timely"))
+    late = read_late(spark, table).agg(F.count("*").alias("late"))
+    return timely.crossJoin(late).select((F.col("timely") + F.col("late")).alias("flights"), (F.col("late") > 0).alias("some_late"))
+
+
+def q_gold_stream_arrival(spark, sf_dir):
+    """Partial sums by arrival time; at the end of the run the watermark has emptied the state."""
+    folder = scratch_dir(spark, "gold-arrival")
+    job = _stream_config(landed(spark, sf_dir, "unique"), folder, partitionBy=["OriginCityName"])
+    query = many(gold_stream(spark, *job, by_arrival=True))
+    if left := sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]):
+        raise AssertionError(f"{left} groups are left in the state")
+    return read_arrivals(spark, f"{folder}/table", EVENT_TIME_COLUMN)
 
 
 def q_layers_stream(spark, sf_dir):
@@ -509,11 +587,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_stream_rescued": q_bronze_stream_rescued,
     "silver_stream": q_silver_stream,
     "silver_stream_bounded": q_silver_stream_bounded,
+    "silver_stream_stored": q_silver_stream_stored,
     "silver_stream_clean": q_silver_stream_clean,
     "gold_stream_append": q_gold_stream_append,
     "gold_stream_compacted": q_gold_stream_compacted,
     "gold_stream_snapshot": q_gold_stream_snapshot,
     "gold_stream_changes": q_gold_stream_changes,
+    "gold_stream_append_partitioned": q_gold_stream_append_partitioned,
     "gold_stream_event_time": q_gold_stream_event_time,
+    "gold_stream_late": q_gold_stream_late,
+    "gold_stream_late_counts": q_gold_stream_late_counts,
+    "gold_stream_arrival": q_gold_stream_arrival,
     "layers_stream": q_layers_stream,
 }

@@ -11,6 +11,8 @@ _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _STATE_ON_DISK = {
     _STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # else every store takes some megabytes of the executors' disks before it holds anything
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Progress of so many micro-batches is kept, so that no dropped row of a run goes unseen.
 _PROGRESS = {"spark.sql.streaming.numRecentProgressUpdates": "100000"}

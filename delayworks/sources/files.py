@@ -72,12 +72,12 @@ def schema_groups(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet
 
 
 def read_new_paths(
-    spark: SparkSession, path: str, pattern: str, max_files_per_trigger: int | None = None, options: Mapping[str, str] | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """A stream of the paths of new files; their content is not read."""
+    """A stream of the paths of new files, whatever their names but those that Spark's readers skip; their
+    content is not read."""
     schema = "path string, modificationTime timestamp, length long, content binary"
-    given = {**(options or {}), "pathGlobFilter": pattern}
-    return read_stream(spark, path, schema, "binaryFile", given, max_files_per_trigger).select("path")
+    return read_stream(spark, path, schema, "binaryFile", options, max_files_per_trigger).select("path")
 
 
 def read_stream(

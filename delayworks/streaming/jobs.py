@@ -12,29 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from delayworks.functions import flight_day_instant
-from delayworks.operators import dedup_stream, rescue_columns, stamp_ingestion
+from delayworks.operators import dedup_stream, rescue_columns, stamp_arrival_time, stamp_ingestion
 from delayworks.plans.gold import gold_daily_route
 from delayworks.plans.silver import clean_flights
 from delayworks.schema import FLIGHT_KEY, FLIGHT_SCHEMA
-from delayworks.sinks import dropped_rows, run_available
-from delayworks.sinks.batches import committed, current_run, live, read_folders, write_batches
+from delayworks.sinks import run_available
+from delayworks.sinks.batches import read_live, write_batches
 from delayworks.sources import read_batch, read_new_paths, schema_groups
 from delayworks.streaming.config import StreamInput, StreamOutput
-from delayworks.streaming.gold import daily_route_by_event_time, daily_route_partials
+from delayworks.streaming.gold import daily_route_by_arrival, daily_route_partials, write_days
+from delayworks.streaming.silver import write_new_flights
 
 # Both stamps of streaming bronze, the event-time column of
-# streaming gold and its default watermark delay.
+# streaming gold and the watermark delay over flight dates.
 BRONZE_STAMPS = ("ingestion_date", "fecha")
 EVENT_TIME_COLUMN = "eventTime"
 WATERMARK_DELAY = "10 minutes"
 RESCUE_COLUMN = "_rescued_data"
 
 
-class RowsDropped(RuntimeError):
-    """A stream bounded by a watermark has left out rows that came behind it."""
-
-
 def bronze_stream(
     spark: SparkSession,
     input_config: Mapping,
@@ -70,20 +66,19 @@ def _bronze_by_file_schema(
         frames = [rescue_columns(raw, FLIGHT_SCHEMA, rescue) for raw in groups]
         return stamp_ingestion(reduce(DataFrame.unionByName, frames), BRONZE_STAMPS, run_date)
 
-    new = read_new_paths(spark, source.path, f"*.{source.fmt}", source.max_files_per_trigger, source.options)
+    new = read_new_paths(spark, source.path, source.max_files_per_trigger, source.options)
     writer = new.writeStream.option("checkpointLocation", sink.checkpoint).foreachBatch(
         write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, fitted)
     )
     return run_available(spark, writer)
 
 
-def read_bronze(spark: SparkSession, path: str, rescue_column: str = "_rescued_data", fmt: str = "parquet") -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, rescue_column: str = RESCUE_COLUMN) -> DataFrame:
     """What ``bronze_stream`` has stored with ``by_file_schema``."""
     stamps = [StructField(name, DateType()) for name in BRONZE_STAMPS]
     rest = [f for f in FLIGHT_SCHEMA if f.name not in BRONZE_STAMPS]
     schema = StructType([*stamps, *rest, StructField(rescue_column, StringType())])
-    run = current_run(spark, path)
-    return read_folders(spark, live(committed(spark, run)) if run else [], schema, fmt)
+    return read_live(spark, path, schema)
 
 
 def silver_stream(
@@ -95,29 +90,22 @@ def silver_stream(
     hot_key_splits: int = 256,
     event_date: str = "FlightDate",
     delay: str | None = None,
+    stored: bool = False,
 ) -> StreamingQuery:
     """Store the first arrival of every flight, across runs of one checkpoint.
 
-    ``clean=True`` also applies the cleaning of batch silver. With a ``delay``, keys are forgotten
-    once the watermark over ``event_date`` has passed them by it, and ``RowsDropped`` is raised at
-    the end of a run in which rows came behind the watermark and so weren't stored.
+    ``clean=True`` also applies the cleaning of batch silver. By default Spark's state store knows the
+    keys. ``stored`` looks them up in the table itself instead, which costs no state and is the form to
+    prefer; it is read by ``read_silver`` and folded by ``compact_silver``. With a ``delay``, which implies ``stored``, flights
+    that come behind the watermark over ``event_date`` are set apart; see ``read_late``.
     """
     raw = StreamInput.from_config(input_config).read(spark, schema)
-    if delay is None:
-        flights = dedup_stream(raw, FLIGHT_KEY, hot_key_splits=hot_key_splits)
-    else:
-        timed = raw.withColumn(EVENT_TIME_COLUMN, flight_day_instant(event_date))
-        flights = dedup_stream(timed, FLIGHT_KEY, EVENT_TIME_COLUMN, delay, hot_key_splits).select(raw.columns)
-    if clean:
-        flights = clean_flights(flights)
-    query = run_available(spark, StreamOutput.from_config(output_config).write(flights))
-    return query if delay is None else _whole(query)
-
-
-def _whole(query: StreamingQuery) -> StreamingQuery:
-    if lost := dropped_rows(query):
-        raise RowsDropped(f"{lost} rows came behind the watermark and were left out; take a longer delay")
-    return query
+    sink = StreamOutput.from_config(output_config)
+    if stored or delay is not None:
+        write = write_new_flights(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, event_date, clean, delay)
+        return run_available(spark, raw.writeStream.option("checkpointLocation", sink.checkpoint).foreachBatch(write))
+    flights = dedup_stream(raw, FLIGHT_KEY, hot_key_splits=hot_key_splits)
+    return run_available(spark, sink.write(clean_flights(flights) if clean else flights))
 
 
 def gold_stream(
@@ -126,30 +114,32 @@ def gold_stream(
     output_config: Mapping,
     schema: StructType | None = None,
     event_date: str = "FlightDate",
-    delay: str = WATERMARK_DELAY,
+    delay: str | None = None,
     by_event_time: bool = False,
+    by_arrival: bool = False,
 ) -> StreamingQuery:
     """Store daily route measures; the output mode selects the form.
 
     ``append``: partial sums per micro-batch, see ``read_totals``. It keeps no state and drops no
     row, whatever order files come in, and is the form to prefer. ``complete``: see
-    ``read_snapshot``. ``update``: see ``read_changes``. ``by_event_time`` stores finished days
-    instead, once a watermark over ``event_date`` has passed them by ``delay``; ``RowsDropped`` is
-    raised if rows came behind it.
+    ``read_snapshot``. ``update``: see ``read_changes``. ``by_event_time`` tells days that a stored watermark over
+    ``event_date``, ``delay`` behind the latest one, has passed from those still open, and sets rows apart
+    that come for a passed day; see ``read_days`` and ``read_late``. ``by_arrival`` aggregates by
+    arrival time under a watermark ``delay`` behind it (none by default), which needs no rows set apart, as none is
+    late; see ``read_arrivals``.
     """
     silver = StreamInput.from_config(input_config).read(spark, schema)
     sink = StreamOutput.from_config(output_config)
+    if by_arrival:
+        arrived = stamp_arrival_time(silver, EVENT_TIME_COLUMN)
+        return run_available(spark, sink.write(daily_route_by_arrival(arrived, EVENT_TIME_COLUMN, delay or "0 seconds")))
+    rows = silver
     if by_event_time:
-        timed = silver.withColumn(EVENT_TIME_COLUMN, flight_day_instant(event_date))
-        daily = daily_route_by_event_time(timed, EVENT_TIME_COLUMN, delay)
-        return _whole(run_available(spark, sink.write(daily)))
-    if sink.output_mode == "append":
-        rows, transform = silver, daily_route_partials
+        write = write_days(sink.path, sink.checkpoint, event_date, delay or WATERMARK_DELAY, sink.fmt, sink.partition_by)
+    elif sink.output_mode == "append":
+        write = write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, daily_route_partials)
     else:
-        rows, transform = gold_daily_route(silver), lambda groups: groups
-    writer = (
-        rows.writeStream.outputMode(sink.output_mode)
-        .option("checkpointLocation", sink.checkpoint)
-        .foreachBatch(write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, transform))
-    )
+        rows = gold_daily_route(silver)
+        write = write_batches(sink.path, sink.checkpoint, sink.fmt, sink.partition_by)
+    writer = rows.writeStream.outputMode(sink.output_mode).option("checkpointLocation", sink.checkpoint).foreachBatch(write)
     return run_available(spark, writer)

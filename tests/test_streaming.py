@@ -7,10 +7,9 @@ from delayworks.operators import dedup_stream
 from delayworks.plans import gold_daily_route
 from delayworks.schema import FLIGHT_KEY, FLIGHT_SCHEMA
 from delayworks.sinks import dropped_rows, expire, run_available, write_batch, write_counted, write_stream
-from delayworks.sinks.batches import committed, current_run
+from delayworks.sinks.batches import current_run, manifest
 from delayworks.sources import infer_stream_schema, read_batch, read_stream
 from delayworks.streaming import (
-    RowsDropped,
     StreamInput,
     StreamOutput,
     bronze_stream,
@@ -19,6 +18,9 @@ from delayworks.streaming import (
     gold_stream,
     read_bronze,
     read_changes,
+    read_days,
+    read_late,
+    read_silver,
     read_snapshot,
     read_totals,
     silver_stream,
@@ -300,15 +302,19 @@ def test_dedup_state_holds_an_entry_per_key_and_one_micro_batch(spark, landing,
     assert read_batch(spark, job[1]["datasetOuputPath"]).count() == 40
 
 
-def test_bounded_silver_fails_when_rows_were_left_out(spark, landing, config):
+def test_bounded_silver_sets_late_flights_apart(spark, landing, config):
     job = config(landing({}, {}), "silver", options={"cloudFiles.maxFilesPerTrigger": "1"})
+    path = job[1]["datasetOuputPath"]
     silver_stream(spark, *job, delay="1 day")
-    assert read_batch(spark, job[1]["datasetOuputPath"]).columns == FLIGHT_SCHEMA.names
+    assert read_silver(spark, path).columns == FLIGHT_SCHEMA.names
     landing({"FlightDate": date(2024, 2, 1)})
     silver_stream(spark, *job, delay="1 day")
-    landing({"FlightDate": date(2024, 1, 5)})
-    with pytest.raises(RowsDropped):
-        silver_stream(spark, *job, delay="1 day")
+    landing({"FlightDate": date(2024, 1, 5)}, {"FlightDate": date(2024, 2, 2)}, {"FlightDate": None})
+    silver_stream(spark, *job, delay="1 day")
+    days = sorted(r["FlightDate"] for r in read_silver(spark, path).collect())
+    assert days == [date(2024, 1, 2), date(2024, 2, 1), date(2024, 2, 2)]
+    late = sorted((r["FlightDate"] for r in read_late(spark, path).collect()), key=repr)
+    assert late == [None, date(2024, 1, 5)]
 
 
 @pytest.mark.parametrize("splits", [1, 256])
@@ -390,8 +396,9 @@ def test_update_mode_writes_only_changed_groups(spark, landing, config):
     landing({"DayofMonth": 2, "FlightDate": date(2024, 1, 2), "CRSDepTime": 999})
     gold_stream(spark, *job)
     path = job[1]["datasetOuputPath"]
-    newest = committed(spark, current_run(spark, path))[-1]
-    assert [r["DayofMonth"] for r in read_batch(spark, newest.path).collect()] == [2]
+    run = current_run(spark, path)
+    newest = f"{run}/{manifest(spark, run).folders[-1].name}"
+    assert [r["DayofMonth"] for r in read_batch(spark, newest).collect()] == [2]
     latest = {r["DayofMonth"]: r["flights_count"] for r in read_changes(spark, path).collect()}
     assert latest == {1: 4, 2: 5, 3: 4}
 
@@ -401,10 +408,10 @@ def test_a_half_written_folder_is_no_result(spark, landing, config, tmp_path, mo
     job = config(landing(*DAYS), "gold", mode)
     gold_stream(spark, *job)
     path = job[1]["datasetOuputPath"]
-    before = sorted(READERS[mode](spark, path).collect())
-    half = f"{current_run(spark, path)}/batch=9"
-    read_batch(spark, committed(spark, current_run(spark, path))[-1].path).limit(1).write.parquet(half)
-    (next((tmp_path / "gold").glob("run=*")) / "batch=9" / "_SUCCESS").unlink()
+    before, run = sorted(READERS[mode](spark, path).collect()), current_run(spark, path)
+    whole = f"{run}/{manifest(spark, run).folders[-1].name}"
+    for name in ("folder=batch-9-00000000", "folder=batch-0-11111111"):
+        read_batch(spark, whole).limit(1).write.parquet(f"{run}/{name}")
     assert sorted(READERS[mode](spark, path).collect()) == before
 
 
@@ -420,7 +427,7 @@ def test_a_fresh_checkpoint_begins_a_new_result(spark, landing, config, mode):
 
 @pytest.mark.parametrize("mode, fold", [("append", compact_totals), ("update", compact_changes)])
 @pytest.mark.parametrize("remove", [True, False])
-def test_compaction_keeps_all_groups(spark, landing, config, mode, fold, remove):
+def test_compaction_keeps_all_groups(spark, landing, config, tmp_path, mode, fold, remove):
     job = config(landing(*DAYS[:5]), "gold", mode, {"cloudFiles.maxFilesPerTrigger": "1"})
     landing(*DAYS[5:])
     gold_stream(spark, *job)
@@ -429,21 +436,23 @@ def test_compaction_keeps_all_groups(spark, landing, config, mode, fold, remove)
     for _ in range(2):  # the second time there is nothing to fold
         fold(spark, path, remove=remove)
         assert sorted(READERS[mode](spark, path).collect()) == before
-    kinds = [f.kind for f in committed(spark, current_run(spark, path))]
-    assert kinds == ["base"] if remove else kinds.count("base") == 1 and len(kinds) > 2
+    (held,) = (tmp_path / "gold").glob("run=*")
+    assert [f.kind for f in manifest(spark, f"{held}").folders] == ["base"]
+    assert len(list(held.glob("folder=*"))) == (1 if remove else 3)
     landing({"CRSDepTime": 999})
     gold_stream(spark, *job)
     assert sum(r["flights_count"] for r in READERS[mode](spark, path).collect()) == len(DAYS) + 1
 
 
-def test_older_snapshots_can_go(spark, landing, config):
+def test_older_snapshots_can_go(spark, landing, config, tmp_path):
     job = config(landing(*DAYS[:5]), "gold", "complete", {"cloudFiles.maxFilesPerTrigger": "1"})
     landing(*DAYS[5:])
     gold_stream(spark, *job)
     path = job[1]["datasetOuputPath"]
     before = sorted(read_snapshot(spark, path).collect())
     expire(spark, path)
-    assert len(committed(spark, current_run(spark, path))) == 1
+    (held,) = (tmp_path / "gold").glob("run=*")
+    assert len(manifest(spark, f"{held}").folders) == len(list(held.glob("folder=*"))) == 1
     assert sorted(read_snapshot(spark, path).collect()) == before
 
 
@@ -454,19 +463,24 @@ def test_nothing_stored_reads_as_empty(spark, tmp_path):
     expire(spark, f"{tmp_path}/none")
 
 
-def test_event_time_gold_emits_finished_days_and_fails_on_late_rows(spark, landing, flights, config):
+def test_event_time_gold_tells_finished_days_and_sets_late_rows_apart(spark, landing, flights, config):
     job = config(landing(*DAYS), "gold", partitionBy=["OriginCityName"])
+    path = job[1]["datasetOuputPath"]
     gold_stream(spark, *job, delay="10 minutes", by_event_time=True)
-    stored = read_batch(spark, job[1]["datasetOuputPath"])
     finished = gold_daily_route(flights(*DAYS)).where("DayofMonth = 1")
+    stored = read_days(spark, path)
     assert sorted(stored.columns) == sorted(finished.columns)
-    assert stored.select(finished.columns).collect() == finished.collect()
+    assert sorted(stored.select(finished.columns).collect()) == sorted(finished.collect())
     late = {"DayofMonth": 1, "FlightDate": date(2024, 1, 1), "CRSDepTime": 999}
-    landing(late, {"DayofMonth": 5, "FlightDate": date(2024, 1, 5)})
-    with pytest.raises(RowsDropped):
-        gold_stream(spark, *job, delay="10 minutes", by_event_time=True)
-    counts = {r["DayofMonth"]: r["flights_count"] for r in read_batch(spark, job[1]["datasetOuputPath"]).collect()}
-    assert counts == {1: 4, 2: 4, 3: 4}
+    landing(late, {"DayofMonth": 5, "FlightDate": date(2024, 1, 5)}, {"FlightDate": None})
+    gold_stream(spark, *job, delay="10 minutes", by_event_time=True)
+
+    def counts(**how):
+        return {r["DayofMonth"]: r["flights_count"] for r in read_days(spark, path, **how).collect()}
+
+    assert counts() == {1: 4, 2: 4, 3: 4}
+    assert counts(with_late=True) == {1: 5, 2: 4, 3: 4}
+    assert read_late(spark, path).count() == 2
 
 
 def test_layers_in_a_row(spark, landing, config, tmp_path):
