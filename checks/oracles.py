@@ -149,6 +149,12 @@ _RESCUED = f"""{_DAMAGED} SELECT {{stamps}}{_COLUMNS},
   '{{{{' || NULLIF(concat_ws(',', clock_json, distance_json, surprise_json), '') || '}}}}' AS _rescued_data
   FROM damaged"""
 
+_BROKEN = f"""{_FLIGHTS} SELECT {{stamps}}
+  {", ".join(f'CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE "{c}" END AS "{c}"' for c in _RAW)},
+  CASE WHEN l_orderkey % 29 = 0
+    THEN '{{{{"_corrupt_record":"{{{{broken ' || concat_ws(' ', {_ORDER}) || '"}}}}' END AS _rescued_data
+  FROM flights"""
+
 _DECLARED = f"CAST(NULL AS DATE) AS {FLIGHT_SCHEMA.names[0]}, "
 
 _BOTH_FORMS = f"""{_UNIQUE}, daily AS (
@@ -210,6 +216,15 @@ ORACLE_SQL = {
     "gold_batch_daily_route": _GOLD_DAILY,
     "gold_batch_monthly_carrier": _GOLD_MONTHLY,
     "gold_batch_route_performance": _GOLD_ROUTE,
+    "rerun_of_one_date": f"""{_FLIGHTS} SELECT {_replaced(
+        lambda c: f'CASE WHEN l_linenumber % 3 = 1 THEN "{c}" + 1 ELSE "{c}" END', ("Distance",))},
+  CAST({RUN_DATE_SQL} + CAST(l_linenumber % 3 AS INTEGER) AS DATE) AS ingestion_date FROM flights""",
+    "versioned_layers": _GOLD_DAILY,
+    "bronze_batch_broken_lines": _BROKEN.format(stamps=f"{RUN_DATE_SQL} AS ingestion_date, "),
+    "bronze_stream_broken_lines": _BROKEN.format(stamps=f"{RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha, "),
+    "bronze_stream_broken_lines_by_file": _BROKEN.format(
+        stamps=f"{RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha, "
+    ),
     "bronze_stream": _BRONZE_STREAM,
     "bronze_stream_backfill": _BRONZE_STREAM,
     "bronze_stream_drift": f"""{_FLIGHTS} SELECT {RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha,
@@ -223,6 +238,9 @@ ORACLE_SQL = {
     "silver_stream": _DISTINCT_KEYS,
     "silver_stream_bounded": _DISTINCT_KEYS,
     "silver_stream_stored": _DISTINCT_KEYS,
+    "stream_counts": f"""{_FLIGHTS}, sizes AS (
+    SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT {_KEY} FROM flights)) AS keys FROM flights
+  ) SELECT unnest(['bronze', 'state', 'stored']) AS form, 2 * n AS rows_in, unnest([2 * n, keys, keys]) AS rows_out FROM sizes""",
     "silver_stream_clean": _SILVER_ROWS,
     "gold_stream_append": _GOLD_DAILY_UNCLEANED,
     "gold_stream_compacted": _BOTH_FORMS,

@@ -41,7 +41,7 @@ from delayworks.schema import (
     LATE_ARRIVAL_MINUTES,
 )
 from delayworks.scratch import scratch_dir
-from delayworks.sinks import run_available, write_batch, write_stream
+from delayworks.sinks import read_current, run_available, write_batch, write_stream
 from delayworks.sources import dated_path, infer_stream_schema, read_batch, read_stream
 from delayworks.streaming import (
     EVENT_TIME_COLUMN,
@@ -53,6 +53,7 @@ from delayworks.streaming import (
     read_arrivals,
     read_bronze,
     read_changes,
+    read_counts,
     read_days,
     read_late,
     read_silver,
@@ -346,6 +347,59 @@ def _gold_job(kind: str):
     return query
 
 
+def q_rerun_of_one_date(spark, sf_dir):
+    """One bronze table of three run dates; the job of the second date runs again on corrected flights."""
+    folder = scratch_dir(spark, "rerun")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    runs = [(0, 0.0), (1, 0.0), (2, 0.0), (1, 1.0)]
+    for number, (part, more) in enumerate(runs):
+        chosen = flights.where(F.col("l_linenumber") % 3 == part).withColumn("Distance", F.col("Distance") + more)
+        write_batch(chosen.select(*_RAW), f"{folder}/in/{number}")
+        day = RUN_DATE + timedelta(days=part)
+        how = {"partition_by": ["ingestion_date"], "replace": "partitions"}
+        bronze_batch(spark, f"{folder}/in/{number}", f"{folder}/bronze", day, **how)
+    return read_batch(spark, f"{folder}/bronze", schema=stamp_ingestion(flights.select(*_RAW), run_date=RUN_DATE).schema)
+
+
+def q_versioned_layers(spark, sf_dir):
+    """Three layers whose tables are replaced at once; the second run replaces what the first one stored."""
+    folder = scratch_dir(spark, "versions")
+    paths = [f"{folder}/{layer}" for layer in ("bronze", "silver", "gold")]
+    source = landed(spark, sf_dir, "ordered")
+    write_batch(read_batch(spark, source).limit(10), f"{folder}/first")
+    for raw in (f"{folder}/first", source):
+        bronze_batch(spark, raw, paths[0], RUN_DATE, replace="version")
+        silver_batch(spark, paths[0], paths[1], RUN_DATE, order_by=FLIGHT_ORDER, replace="version")
+        gold_batch(spark, "daily_route", paths[1], paths[2], RUN_DATE, partition_by=["OriginCityName"], replace="version")
+    return read_current(spark, paths[2])
+
+
+def _with_broken_lines(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Flights as JSON lines, some of them broken off."""
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    broken = F.concat(F.lit("{broken "), F.concat_ws(" ", *FLIGHT_ORDER))
+    line = F.when(F.col("l_orderkey") % 29 == 0, broken).otherwise(F.to_json(F.struct(*_RAW)))
+    _spread(flights.select(line.alias("value"))).write.text(path)
+    return path
+
+
+def q_bronze_batch_broken_lines(spark, sf_dir):
+    folder = scratch_dir(spark, "broken-batch")
+    how = {"input_fmt": "json", "rescue_column": "_rescued_data"}
+    return read_batch(spark, bronze_batch(spark, _with_broken_lines(spark, sf_dir, f"{folder}/in"), f"{folder}/out", RUN_DATE, **how))
+
+
+def _broken_lines_stream(by_file_schema: bool):
+    def query(spark, sf_dir):
+        folder = scratch_dir(spark, "broken-stream")
+        job = _stream_config(_with_broken_lines(spark, sf_dir, f"{folder}/in"), folder, rescue_column="_rescued_data")
+        job[0]["autoloaderOptions"]["cloudFiles.format"] = "json"
+        many(bronze_stream(spark, *job, run_date=RUN_DATE, by_file_schema=by_file_schema))
+        return read_bronze(spark, f"{folder}/table") if by_file_schema else read_batch(spark, f"{folder}/table")
+
+    return query
+
+
 # --- streaming jobs ---------------------------------------------------------
 
 
@@ -415,6 +469,22 @@ def q_silver_stream(spark, sf_dir):
     return read_batch(spark, f"{folder}/table").select(*FLIGHT_KEY)
 
 
+def q_stream_counts(spark, sf_dir):
+    """Rows in and out of both silver forms over two deliveries, and of bronze, summed over micro-batches."""
+    folder, counts = scratch_dir(spark, "counts"), []
+    flights = read_batch(spark, landed(spark, sf_dir, "flights"))
+    jobs = {form: _stream_config(f"{folder}/in", f"{folder}/{form}") for form in ("bronze", "state", "stored")}
+    for _ in range(2):
+        _add_files(flights, f"{folder}/in")
+        many(bronze_stream(spark, *jobs["bronze"], run_date=RUN_DATE))
+        many(silver_stream(spark, *jobs["state"]))
+        many(silver_stream(spark, *jobs["stored"], stored=True))
+    for form, job in jobs.items():
+        rows = read_counts(spark, job[1]["datasetOuputPath"])
+        counts.append(rows.agg(F.lit(form).alias("form"), F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out")))
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 def q_silver_stream_bounded(spark, sf_dir):
     folder = scratch_dir(spark, "silver-bounded")
     job = _stream_config(landed_by_year(spark, sf_dir, "flights"), folder, file_cap=1)
@@ -581,12 +651,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_batch_daily_route": _gold_job("daily_route"),
     "gold_batch_monthly_carrier": _gold_job("monthly_carrier"),
     "gold_batch_route_performance": _gold_job("route_performance"),
+    "rerun_of_one_date": q_rerun_of_one_date,
+    "versioned_layers": q_versioned_layers,
+    "bronze_batch_broken_lines": q_bronze_batch_broken_lines,
+    "bronze_stream_broken_lines": _broken_lines_stream(by_file_schema=False),
+    "bronze_stream_broken_lines_by_file": _broken_lines_stream(by_file_schema=True),
     "bronze_stream": q_bronze_stream,
     "bronze_stream_backfill": q_bronze_stream_backfill,
     "bronze_stream_drift": q_bronze_stream_drift,
     "bronze_stream_rescued": q_bronze_stream_rescued,
     "silver_stream": q_silver_stream,
     "silver_stream_bounded": q_silver_stream_bounded,
+    "stream_counts": q_stream_counts,
     "silver_stream_stored": q_silver_stream_stored,
     "silver_stream_clean": q_silver_stream_clean,
     "gold_stream_append": q_gold_stream_append,

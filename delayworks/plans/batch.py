@@ -1,20 +1,35 @@
 """Daily batch jobs: read one layer, write the next, one action each.
 
 Every job takes the run's date, so a run past midnight still meets its own
-input. Errors are raised. Jobs return the path written.
+input. Errors are raised. Jobs return the path written. ``replace`` says what a job
+replaces: the whole path (``"path"``), the partitions that it writes (``"partitions"``, for one table of
+all run dates), or the whole table at once (``"version"``, for readers at any time). Jobs read
+tables written either way.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from delayworks.operators import stamp_ingestion
+from delayworks.operators import rescue_columns, stamp_ingestion
 from delayworks.plans.gold import GOLD_PLANS
 from delayworks.plans.silver import silver_transform
-from delayworks.sinks import write_batch
+from delayworks.schema import FLIGHT_SCHEMA
+from delayworks.sinks import read_current, write_batch, write_version
 from delayworks.sources import dated_path, read_batch
 
+REPLACE = ("path", "partitions", "version")
+
+
+def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], replace: str) -> None:
+    if replace not in REPLACE:
+        raise ValueError(f"replace must be one of {REPLACE}, not {replace!r}")
+    if replace == "version":
+        write_version(df, path, fmt, partition_by)
+    else:
+        write_batch(df, path, fmt, partition_by=partition_by, replace_partitions=replace == "partitions")
+
 
 def bronze_batch(
     spark: SparkSession,
@@ -22,11 +37,22 @@ def bronze_batch(
     output_template: str,
     run_date: date,
     fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    replace: str = "path",
+    input_fmt: str | None = None,
+    input_options: Mapping[str, str] | None = None,
+    rescue_column: str | None = None,
 ) -> str:
-    """Store the input as it is, stamped with the run's date."""
+    """Store the input as it is, stamped with the run's date.
+
+    With a ``rescue_column`` it is fitted to the flight schema, and what does not fit, text
+    records too that can't be parsed, goes into that column.
+    """
     target = dated_path(output_template, run_date)
-    raw = read_batch(spark, input_path, fmt)
-    write_batch(stamp_ingestion(raw, run_date=run_date), target, fmt)
+    raw = read_batch(spark, input_path, input_fmt or fmt, options=input_options, corrupt_records=rescue_column is not None)
+    if rescue_column:
+        raw = rescue_columns(raw, FLIGHT_SCHEMA, rescue_column)
+    _write(stamp_ingestion(raw, run_date=run_date), target, fmt, partition_by, replace)
     return target
 
 
@@ -38,11 +64,12 @@ def silver_batch(
     fmt: str = "parquet",
     order_by: Sequence[str | Column] | None = None,
     partition_by: Sequence[str] = (),
+    replace: str = "path",
 ) -> str:
     """Store the silver form of the run's bronze flights."""
     target = dated_path(output_template, run_date)
-    bronze = read_batch(spark, dated_path(input_template, run_date), fmt)
-    write_batch(silver_transform(bronze, order_by), target, fmt, partition_by=partition_by)
+    bronze = read_current(spark, dated_path(input_template, run_date), fmt)
+    _write(silver_transform(bronze, order_by), target, fmt, partition_by, replace)
     return target
 
 
@@ -54,9 +81,10 @@ def gold_batch(
     run_date: date,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    replace: str = "path",
 ) -> str:
     """Store one of ``GOLD_PLANS`` over the run's silver flights."""
     target = dated_path(output_template, run_date)
-    silver = read_batch(spark, dated_path(input_template, run_date), fmt)
-    write_batch(GOLD_PLANS[kind](silver), target, fmt, partition_by=partition_by)
+    silver = read_current(spark, dated_path(input_template, run_date), fmt)
+    _write(GOLD_PLANS[kind](silver), target, fmt, partition_by, replace)
     return target

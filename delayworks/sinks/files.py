@@ -26,16 +26,23 @@ def write_batch(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
+    replace_partitions: bool = False,
 ) -> None:
     """Write a frame, replacing the whole path by default.
 
+    ``replace_partitions`` replaces only the partitions that the frame has rows of, so a rerun for one date
+    leaves the files of the others as they are.
+
     A partitioned write first brings the rows of a partition value together, to
     avoid one small file per task and value. It does so with a rebalance, which
     AQE splits again by size: a value holding much of the data gets many tasks.
     """
+    if replace_partitions and (not partition_by or mode != "overwrite"):
+        raise ValueError("only a partitioned overwrite can replace partitions")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
+    given = {**(options or {}), "partitionOverwriteMode": "dynamic" if replace_partitions else "static"}
+    writer = df.write.format(fmt).mode(mode).options(**given)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

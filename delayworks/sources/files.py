@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed value: the part of a path that stands for the run's date.
 DATE_PLACEHOLDER = "YYYY_MM_DD"
@@ -13,6 +13,10 @@ DATE_PLACEHOLDER = "YYYY_MM_DD"
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "xml", "text", "binaryFile")
 ANY_AGE = "36500d"
 
+# Formats of text records, and Spark's name for the column that takes those it can't parse.
+RECORD_FORMATS = ("json", "csv", "xml")
+CORRUPT_RECORD = "_corrupt_record"
+
 
 def dated_path(template: str, run_date: date) -> str:
     """Put the run's date in place of every ``YYYY_MM_DD`` of a path."""
@@ -26,15 +30,33 @@ def read_batch(
     schema: StructType | str | None = None,
     options: Mapping[str, str] | None = None,
     ignore_missing_files: bool = False,
+    corrupt_records: bool = False,
 ) -> DataFrame:
     """Everything under a path or several; the schema comes from the files unless given.
 
-    Values of partition folders are guessed ("007" reads as 7) unless the schema declares them.
+    Values of partition folders are guessed ("007" reads as 7) unless the schema declares them. With
+    ``corrupt_records``, text records that can't be parsed stay as rows, whole in ``CORRUPT_RECORD``.
     """
-    reader = spark.read.format(fmt).options(**_with_missing(options, ignore_missing_files))
+    paths = path if isinstance(path, str) else list(path)
+    given = _with_missing(options, ignore_missing_files)
+    if corrupt_records and fmt in RECORD_FORMATS:
+        given |= _PERMISSIVE
+        inferred = schema if schema is not None else spark.read.format(fmt).options(**given).load(paths).schema
+        schema = with_corrupt_record(inferred)
+    reader = spark.read.format(fmt).options(**given)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path if isinstance(path, str) else list(path))
+    return reader.load(paths)
+
+
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+
+
+def with_corrupt_record(schema: StructType | str) -> StructType:
+    """The schema with the column of records that can't be parsed, which inference adds only if it meets one."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rest = [f for f in fields if f.name != CORRUPT_RECORD]
+    return StructType([*rest, StructField(CORRUPT_RECORD, StringType())])
 
 
 def infer_stream_schema(
@@ -88,15 +110,18 @@ def read_stream(
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int | None = None,
     ignore_missing_files: bool = False,
+    corrupt_records: bool = False,
 ) -> DataFrame:
     """New files of a folder, each exactly once per checkpoint, however old their timestamps.
 
     Spark by default skips files a week older than the newest one that it has seen. Here it skips
     none unless ``options`` set ``maxFileAge``; the checkpoint then remembers every path, and the
     driver holds them. Pass no schema only for formats that bring their own; see
-    ``infer_stream_schema`` for the others.
+    ``infer_stream_schema`` for the others. ``corrupt_records`` is as in ``read_batch``.
     """
     given = _with_missing(options, ignore_missing_files)
+    if corrupt_records and schema is not None and fmt in RECORD_FORMATS:
+        given, schema = given | _PERMISSIVE, with_corrupt_record(schema)
     if "maxfileage" not in {name.lower() for name in given} and fmt in FILE_FORMATS:
         given["maxFileAge"] = ANY_AGE
     reader = spark.readStream.format(fmt).options(**given)

@@ -1,6 +1,7 @@
 """Streaming layers: consume what is new, then stop."""
 
 from delayworks.streaming.config import StreamInput, StreamOutput
+from delayworks.streaming.counts import read_counts
 from delayworks.streaming.gold import (
     compact_changes,
     compact_totals,
@@ -33,6 +34,7 @@ __all__ = [
     "read_arrivals",
     "read_bronze",
     "read_changes",
+    "read_counts",
     "read_days",
     "read_late",
     "read_silver",

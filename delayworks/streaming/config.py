@@ -73,7 +73,8 @@ class StreamInput:
 
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
         """The stream, with the schema of the present files unless one is given: of all of them
-        where columns are rescued, as a column outside of the schema never reaches the stream."""
+        where columns are rescued, as a column outside of the schema never reaches the stream. Text
+        records that can't be parsed are rescued too."""
         if schema is None and self.fmt in FILE_FORMATS:
             schema = infer_stream_schema(
                 spark, self.path, self.fmt, self.options, merge=self.rescue_column is not None
@@ -86,6 +87,7 @@ class StreamInput:
             self.options,
             self.max_files_per_trigger,
             ignore_missing_files=self.ignore_missing_files,
+            corrupt_records=self.rescue_column is not None,
         )
 
 

@@ -20,6 +20,7 @@ from delayworks.sinks import run_available
 from delayworks.sinks.batches import read_live, write_batches
 from delayworks.sources import read_batch, read_new_paths, schema_groups
 from delayworks.streaming.config import StreamInput, StreamOutput
+from delayworks.streaming.counts import counted, counts_of, store_counts
 from delayworks.streaming.gold import daily_route_by_arrival, daily_route_partials, write_days
 from delayworks.streaming.silver import write_new_flights
 
@@ -51,8 +52,8 @@ def bronze_stream(
     raw = source.read(spark, schema)
     if source.rescue_column:
         raw = rescue_columns(raw, FLIGHT_SCHEMA, source.rescue_column)
-    stamped = stamp_ingestion(raw, BRONZE_STAMPS, run_date)
-    return run_available(spark, StreamOutput.from_config(output_config).write(stamped))
+    stamped, sink = stamp_ingestion(counted(raw), BRONZE_STAMPS, run_date), StreamOutput.from_config(output_config)
+    return _with_counts(spark, sink, run_available(spark, sink.write(counted(stamped, out=True))))
 
 
 def _bronze_by_file_schema(
@@ -62,7 +63,8 @@ def _bronze_by_file_schema(
 
     def fitted(paths: DataFrame) -> DataFrame:
         files = [row["path"] for row in paths.collect()]  # as many as the cap on files lets in
-        groups = (read_batch(spark, group, source.fmt, options={"mergeSchema": "true"}) for group in schema_groups(spark, files, source.fmt))
+        how = {"options": {**source.options, "mergeSchema": "true"}, "corrupt_records": True}
+        groups = (read_batch(spark, group, source.fmt, **how) for group in schema_groups(spark, files, source.fmt))
         frames = [rescue_columns(raw, FLIGHT_SCHEMA, rescue) for raw in groups]
         return stamp_ingestion(reduce(DataFrame.unionByName, frames), BRONZE_STAMPS, run_date)
 
@@ -102,10 +104,19 @@ def silver_stream(
     raw = StreamInput.from_config(input_config).read(spark, schema)
     sink = StreamOutput.from_config(output_config)
     if stored or delay is not None:
-        write = write_new_flights(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, event_date, clean, delay)
-        return run_available(spark, raw.writeStream.option("checkpointLocation", sink.checkpoint).foreachBatch(write))
-    flights = dedup_stream(raw, FLIGHT_KEY, hot_key_splits=hot_key_splits)
-    return run_available(spark, sink.write(clean_flights(flights) if clean else flights))
+        counts: list[tuple[int, int, int]] = []
+        write = write_new_flights(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, event_date, clean, delay, counts=counts)
+        query = run_available(spark, raw.writeStream.option("checkpointLocation", sink.checkpoint).foreachBatch(write))
+        store_counts(spark, sink.path, counts)
+        return query
+    flights = counted(dedup_stream(counted(raw), FLIGHT_KEY, hot_key_splits=hot_key_splits), out=True)
+    return _with_counts(spark, sink, run_available(spark, sink.write(clean_flights(flights) if clean else flights)))
+
+
+def _with_counts(spark: SparkSession, sink: StreamOutput, query: StreamingQuery) -> StreamingQuery:
+    """The query, after the counts of its run have been stored; see ``read_counts``."""
+    store_counts(spark, sink.path, counts_of(query))
+    return query
 
 
 def gold_stream(
@@ -131,8 +142,9 @@ def gold_stream(
     silver = StreamInput.from_config(input_config).read(spark, schema)
     sink = StreamOutput.from_config(output_config)
     if by_arrival:
-        arrived = stamp_arrival_time(silver, EVENT_TIME_COLUMN)
-        return run_available(spark, sink.write(daily_route_by_arrival(arrived, EVENT_TIME_COLUMN, delay or "0 seconds")))
+        arrived = stamp_arrival_time(counted(silver), EVENT_TIME_COLUMN)
+        daily = counted(daily_route_by_arrival(arrived, EVENT_TIME_COLUMN, delay or "0 seconds"), out=True)
+        return _with_counts(spark, sink, run_available(spark, sink.write(daily)))
     rows = silver
     if by_event_time:
         write = write_days(sink.path, sink.checkpoint, event_date, delay or WATERMARK_DELAY, sink.fmt, sink.partition_by)

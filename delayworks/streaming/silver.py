@@ -68,11 +68,13 @@ def write_new_flights(
     delay: str | None = None,
     keys: Sequence[str] = FLIGHT_KEY,
     filter_bits: int = FILTER_BITS,
+    counts: list[tuple[int, int, int]] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores the rows of a micro-batch whose key the table doesn't hold yet.
 
     One row per key; NULL keys equal each other. With a ``delay``, rows behind the stored watermark over
-    ``event_date`` go to the side table of late rows (see ``delayworks.streaming.late``).
+    ``event_date`` go to the side table of late rows (see ``delayworks.streaming.late``). ``counts`` gets
+    (batch_id, rows in, rows out), late rows in neither.
     """
     date, key = column(event_date).cast("date"), F.struct(*(column(k) for k in keys))
 
@@ -81,7 +83,8 @@ def write_new_flights(
         if delay is not None:
             event = flight_day_instant(event_date)
             batch, note = split_late(batch, batch_id, path, run, event, event, delay, fmt)
-        held, span = manifest(spark, run), batch.agg(*_span(date)).first().asDict()
+        held, span = manifest(spark, run), batch.agg(*_span(date), F.count(F.lit(1)).alias("rows")).first().asDict()
+        rows_in = span.pop("rows")
         spans = held.notes.get(_DATES, {})
         met = [f for f in held.folders if f.number != batch_id and _meets(span, spans[f.name])]
         # a struct as key: NULLs in it equal each other, and join and dedup share one shuffle
@@ -93,13 +96,16 @@ def write_new_flights(
         folder = write_folder(rows, run, batch_id, fmt, partition_by)
         stored = read_folders(spark, run, [folder], rows.schema, fmt)
         own = stored.agg(*_span(date), F.count(F.lit(1)).alias("rows")).first().asDict()
-        if own.pop("rows"):
+        rows_out = own.pop("rows")
+        if rows_out:
             write_batch(key_filter(stored, key, filter_bits), f"{run}/{_FILTER}{folder.name}")
             commit_folder(rows, run, folder, fmt, lambda notes: _dated(note(notes), folder, own))
-            return
-        removed(spark, f"{run}/{folder.name}")
-        if delay is not None:
-            commit_notes(spark, run, note)
+        else:
+            removed(spark, f"{run}/{folder.name}")
+            if delay is not None:
+                commit_notes(spark, run, note)
+        if counts is not None:
+            counts.append((batch_id, rows_in, rows_out))
 
     return each_batch(path, checkpoint, write)
 
