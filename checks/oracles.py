@@ -227,6 +227,7 @@ ORACLE_SQL = {
     ),
     "bronze_stream": _BRONZE_STREAM,
     "bronze_stream_backfill": _BRONZE_STREAM,
+    "bronze_stream_archived": _BRONZE_STREAM,
     "bronze_stream_drift": f"""{_FLIGHTS} SELECT {RUN_DATE_SQL} AS ingestion_date, {RUN_DATE_SQL} AS fecha,
   {_replaced(lambda c: f'CASE WHEN l_linenumber % 3 = 2 AND {_BAD_DISTANCE} THEN NULL ELSE "{c}" END', ("Distance",))},
   CASE WHEN l_linenumber % 3 = 1 THEN '{{"surprise":"more"}}'

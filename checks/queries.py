@@ -435,6 +435,34 @@ def q_bronze_stream_backfill(spark, sf_dir):
     return read_batch(spark, f"{folder}/table")
 
 
+def q_bronze_stream_archived(spark, sf_dir):
+    """Three runs whose consumed files go to an archive; the second run's files come with times of a month ago."""
+    folder = scratch_dir(spark, "bronze-archived")
+    flights = derive_flights(spark, sf_dir, keep_order=True)
+    job = _stream_config(f"{folder}/in", folder, file_cap=1)
+    job[0]["autoloaderOptions"]["archivePath"] = f"{folder}/archive"
+    for number in range(3):
+        part = flights.where(F.col("l_linenumber") % 3 == number).select(*_RAW).repartition(BATCHES)
+        write_batch(part, f"{folder}/new/{number}")
+        _set_age(spark, f"{folder}/new/{number}", 30 * (number == 1))
+        _move_files(spark, f"{folder}/new/{number}", f"{folder}/in")
+        many(bronze_stream(spark, *job, run_date=RUN_DATE))
+    left = spark.read.format("binaryFile").load(f"{folder}/in").select("path").count()
+    if left > 1:
+        raise AssertionError(f"{left} files are left in the source, 1 of the last micro-batch expected")
+    return read_batch(spark, f"{folder}/table")
+
+
+def _move_files(spark: SparkSession, path: str, target: str) -> None:
+    """Move the Parquet files of a folder, with their times."""
+    source, into = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(into)
+    for status in files.listStatus(source):
+        if status.getPath().getName().endswith(".parquet"):
+            files.rename(status.getPath(), into)
+
+
 def q_bronze_stream_rescued(spark, sf_dir):
     folder = scratch_dir(spark, "bronze-stream-rescued")
     job = _stream_config(landed(spark, sf_dir, "damaged"), folder, rescue_column="_rescued_data")
@@ -658,6 +686,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_stream_broken_lines_by_file": _broken_lines_stream(by_file_schema=True),
     "bronze_stream": q_bronze_stream,
     "bronze_stream_backfill": q_bronze_stream_backfill,
+    "bronze_stream_archived": q_bronze_stream_archived,
     "bronze_stream_drift": q_bronze_stream_drift,
     "bronze_stream_rescued": q_bronze_stream_rescued,
     "silver_stream": q_silver_stream,

@@ -6,7 +6,8 @@ from delayworks.sources.files import (
     read_batch,
     read_new_paths,
     read_stream,
+    renew_old_files,
     schema_groups,
 )
 
-__all__ = ["dated_path", "infer_stream_schema", "read_batch", "read_new_paths", "read_stream", "schema_groups"]
+__all__ = ["dated_path", "infer_stream_schema", "read_batch", "read_new_paths", "read_stream", "renew_old_files", "schema_groups"]

@@ -1,9 +1,11 @@
 """Readers over path-based formats."""
 
+import time
 from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed value: the part of a path that stands for the run's date.
@@ -132,6 +134,30 @@ def read_stream(
     return reader.load(path)
 
 
+def renew_old_files(spark: SparkSession, path: str, checkpoint: str, age_seconds: float) -> int:
+    """Give files that a stream hasn't taken, and that are older than the age, the present as their time.
+
+    A stream that forgets the paths it took longer ago than ``maxFileAge`` skips files as old as that. Its own log
+    tells what it took; files it took and hasn't archived yet stay as they are. The number of files renewed.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    log = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/sources/0")
+    plain = lambda p: F.regexp_replace(F.coalesce(F.try_url_decode(p), p), "^([A-Za-z0-9]+):/+", "$1:/")
+    over = F.col("modificationTime") < F.timestamp_micros(F.lit(int((time.time() - age_seconds) * 1e6)))
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    old = spark.read.format("binaryFile").schema(schema).load(path).where(over).select("path")
+    if log.getFileSystem(conf).exists(log):
+        lines = spark.read.text(f"{checkpoint}/sources/0/*")
+        taken = lines.select(plain(F.get_json_object("value", "$.path")).alias("taken")).where("taken is not null")
+        old = old.join(taken, plain(F.col("path")) == F.col("taken"), "left_anti")
+    renewed = 0
+    for row in old.toLocalIterator():
+        file = jvm.org.apache.hadoop.fs.Path(row["path"])
+        file.getFileSystem(conf).setTimes(file, int(time.time() * 1000), -1)
+        renewed += 1
+    return renewed
+
+
 def _with_missing(options: Mapping[str, str] | None, ignore: bool) -> dict[str, str]:
     """A per-read setting, so that other reads of the session stay strict."""
     return {**(options or {}), **({"ignoreMissingFiles": "true"} if ignore else {})}

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from delayworks.sinks import write_stream
-from delayworks.sources import infer_stream_schema, read_stream
+from delayworks.sources import infer_stream_schema, read_stream, renew_old_files
 from delayworks.sources.files import FILE_FORMATS
 
 # Configuration keys, and the source options that open Spark
@@ -27,6 +27,9 @@ VENDOR_NOT_NEEDED = {
     "cloudFiles.useNotifications",
 }
 MISSING_FILES = "ignoreMissingFiles"
+ARCHIVE = "archivePath"
+#: With an archive, a stream forgets paths this long after it took them.
+ARCHIVED_AGE_DAYS = 7
 _SELF_TYPED = ("parquet", "orc", "avro", "delta")
 
 
@@ -40,6 +43,7 @@ class StreamInput:
     max_files_per_trigger: int | None = None
     rescue_column: str | None = None
     ignore_missing_files: bool = False
+    archive: str | None = None
 
     @classmethod
     def from_config(cls, config: Mapping) -> "StreamInput":
@@ -49,7 +53,9 @@ class StreamInput:
         and inferred column types are honoured; those about discovery and schema
         tracking are not needed, as the schema is inferred once at the start; any
         other vendor option is refused. ``ignoreMissingFiles`` (off unless given)
-        and other options are Spark's own.
+        and other options are Spark's own. ``archivePath`` is where files go once a later micro-batch
+        has followed the one that took them, below their own path; the source then holds what is new and the last
+        micro-batch, and the driver remembers a week of paths, not all (see ``renew_old_files``).
         """
         given = config.get("autoloaderOptions", {})
         fmt = config.get("format", VENDOR_FORMAT)
@@ -59,7 +65,9 @@ class StreamInput:
         known = {VENDOR_FILE_FORMAT, VENDOR_FILE_CAP, VENDOR_RESCUE_COLUMN, VENDOR_INFER_TYPES, *VENDOR_NOT_NEEDED}
         if unknown := sorted(k for k in given if k.startswith(VENDOR_PREFIX) and k not in known):
             raise ValueError(f"options without a counterpart: {unknown}")
-        options = {k: v for k, v in given.items() if not k.startswith(VENDOR_PREFIX) and k != MISSING_FILES}
+        options = {k: v for k, v in given.items() if not k.startswith(VENDOR_PREFIX) and k not in (MISSING_FILES, ARCHIVE)}
+        if ARCHIVE in given:
+            options = {"maxFileAge": f"{ARCHIVED_AGE_DAYS}d", **options, "cleanSource": "archive", "sourceArchiveDir": given[ARCHIVE]}
         if fmt not in _SELF_TYPED and VENDOR_INFER_TYPES in given:
             options.setdefault("inferSchema", str(given[VENDOR_INFER_TYPES]).lower())
         return cls(
@@ -69,8 +77,15 @@ class StreamInput:
             max_files_per_trigger=None if cap is None else int(cap),
             rescue_column=given.get(VENDOR_RESCUE_COLUMN),
             ignore_missing_files=str(given.get(MISSING_FILES, False)).lower() == "true",
+            archive=given.get(ARCHIVE),
         )
 
+    def prepare(self, spark: SparkSession, checkpoint: str) -> "StreamInput":
+        """Before a run: with an archive, files that came with old times are made to be taken."""
+        if self.archive:
+            renew_old_files(spark, self.path, checkpoint, ARCHIVED_AGE_DAYS * 86_400 / 2)
+        return self
+
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
         """The stream, with the schema of the present files unless one is given: of all of them
         where columns are rescued, as a column outside of the schema never reaches the stream. Text

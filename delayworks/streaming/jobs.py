@@ -46,13 +46,14 @@ def bronze_stream(
     then reads each file by its own schema, so that columns which come up later, or files that give
     a column another type, are rescued too; see ``read_bronze``.
     """
-    source = StreamInput.from_config(input_config)
+    sink = StreamOutput.from_config(output_config)
+    source = StreamInput.from_config(input_config).prepare(spark, sink.checkpoint)
     if by_file_schema:
-        return _bronze_by_file_schema(spark, source, StreamOutput.from_config(output_config), run_date)
+        return _bronze_by_file_schema(spark, source, sink, run_date)
     raw = source.read(spark, schema)
     if source.rescue_column:
         raw = rescue_columns(raw, FLIGHT_SCHEMA, source.rescue_column)
-    stamped, sink = stamp_ingestion(counted(raw), BRONZE_STAMPS, run_date), StreamOutput.from_config(output_config)
+    stamped = stamp_ingestion(counted(raw), BRONZE_STAMPS, run_date)
     return _with_counts(spark, sink, run_available(spark, sink.write(counted(stamped, out=True))))
 
 
@@ -101,8 +102,8 @@ def silver_stream(
     prefer; it is read by ``read_silver`` and folded by ``compact_silver``. With a ``delay``, which implies ``stored``, flights
     that come behind the watermark over ``event_date`` are set apart; see ``read_late``.
     """
-    raw = StreamInput.from_config(input_config).read(spark, schema)
     sink = StreamOutput.from_config(output_config)
+    raw = StreamInput.from_config(input_config).prepare(spark, sink.checkpoint).read(spark, schema)
     if stored or delay is not None:
         counts: list[tuple[int, int, int]] = []
         write = write_new_flights(sink.path, sink.checkpoint, sink.fmt, sink.partition_by, event_date, clean, delay, counts=counts)
@@ -139,8 +140,8 @@ def gold_stream(
     arrival time under a watermark ``delay`` behind it (none by default), which needs no rows set apart, as none is
     late; see ``read_arrivals``.
     """
-    silver = StreamInput.from_config(input_config).read(spark, schema)
     sink = StreamOutput.from_config(output_config)
+    silver = StreamInput.from_config(input_config).prepare(spark, sink.checkpoint).read(spark, schema)
     if by_arrival:
         arrived = stamp_arrival_time(counted(silver), EVENT_TIME_COLUMN)
         daily = counted(daily_route_by_arrival(arrived, EVENT_TIME_COLUMN, delay or "0 seconds"), out=True)

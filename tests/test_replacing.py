@@ -217,3 +217,48 @@ def test_by_file_schema_takes_files_of_any_name(spark, flights, config, tmp_path
     job = config(f"{tmp_path}/in", "bronze", options)
     bronze_stream(spark, *job, by_file_schema=True)
     assert read_bronze(spark, job[1]["datasetOuputPath"]).count() == rows
+
+
+# --- files that were taken ---
+
+
+def test_consumed_files_are_archived_and_old_ones_still_taken(spark, flights, config, tmp_path):
+    import os
+    import time
+
+    def add(n, days=0):
+        flights({"CRSDepTime": n}).coalesce(1).write.parquet(f"{tmp_path}/w{n}")
+        file = next((tmp_path / f"w{n}").glob("*.parquet"))
+        os.utime(file, (time.time() - days * 86_400,) * 2)
+        (tmp_path / "in dir").mkdir(exist_ok=True)
+        file.rename(tmp_path / "in dir" / f"a b%{n}.parquet")
+
+    job = config(f"{tmp_path}/in dir", "bronze", {"archivePath": f"{tmp_path}/archive"})
+    add(1)
+    add(2, days=40)
+    bronze_stream(spark, *job)
+    bronze_stream(spark, *job)  # nothing new
+    add(3, days=30)
+    bronze_stream(spark, *job)
+    add(4)
+    bronze_stream(spark, *job)
+    got = sorted(r["CRSDepTime"] for r in read_batch(spark, job[1]["datasetOuputPath"]).collect())
+    assert got == [1, 2, 3, 4]
+    assert len(list((tmp_path / "in dir").glob("*.parquet"))) == 1
+    assert len([p for p in (tmp_path / "archive").rglob("*.parquet") if p.is_file()]) == 3
+
+
+def test_files_that_a_stream_took_are_not_renewed(spark, flights, config, tmp_path):
+    import os
+    import time
+
+    from delayworks.sources import renew_old_files
+
+    flights({}).coalesce(1).write.parquet(f"{tmp_path}/in")
+    job = config(f"{tmp_path}/in", "bronze")
+    assert renew_old_files(spark, f"{tmp_path}/in", job[1]["checkpointPath"], 3600) == 0
+    for file in (tmp_path / "in").glob("*.parquet"):
+        os.utime(file, (time.time() - 86_400,) * 2)
+    bronze_stream(spark, *job)
+    assert renew_old_files(spark, f"{tmp_path}/in", job[1]["checkpointPath"], 3600) == 0
+    assert renew_old_files(spark, f"{tmp_path}/in", f"{tmp_path}/other", 3600) == 1
