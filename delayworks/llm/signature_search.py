@@ -5,7 +5,7 @@ Bloom signature, and again for every doubling of its count; the signatures of a
 documents per bit. The slices of a term, taken together, show the documents that may hold it so
 often and never miss one, so the weights of a query's slices, summed, bound every document's score from above.
 
-Three steps over all documents: the best documents by bound are scored exactly, which gives each query a score
+Three steps over all documents: those that look best are scored exactly, which gives each query a score
 that the last of its best reaches at least; documents bounded below it are excluded for certain; all
 others are scored exactly.
 """
@@ -26,16 +26,19 @@ from delayworks.llm.tables import ship, stored
 
 #: Letters and digits of ASCII, lower-cased, and all that isn't ASCII; everything else parts terms.
 TERM_BYTES = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
-HASHES = 3
-BITS_PER_TERM = 16
-LEAST_BITS, MOST_BITS = 6, 24
+HASHES = 6
+BITS_PER_TERM = 24
+LEAST_BITS, MOST_BITS = 7, 24
 DOCS_PER_BLOCK = 512
-BITS_PER_BLOCK = 1 << 25
+BITS_PER_BLOCK = 1 << 24
 #: A reader decodes up to one file's blocks at once.
 BLOCKS_PER_FILE = 64
 QUERIES_AT_ONCE = 1000
-HASHES_KEPT = 1 << 20
+HASHES_KEPT = 1 << 17
 SALTS = 32
+#: Documents that are scored for a query's least score, and those that a task proposes for it, as multiples of
+#: the number wanted. Their choice decides how many documents are excluded, not which are found.
+SEEDS, SEEDS_OF_TASK = 4, 2
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -109,11 +112,13 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 @dataclass(frozen=True)
 class Query:
-    """Terms of a block of items, their weights, and by item the numbers of its terms; N and L of the corpus."""
+    """Terms of a block of items, their weights, by item the numbers of its terms, the documents that hold
+    each, and N and L of the corpus."""
 
     numbers: dict[bytes, int]
     weights: np.ndarray
     items: list[np.ndarray]
+    holding: np.ndarray
     documents: int
     length: int
 
@@ -124,23 +129,36 @@ class Query:
         """What a term so often in a document adds per unit of its weight."""
         return 1_000_000_000 * counts // (1000 * counts + 20 * norms)
 
-    def bounds(self, block: dict) -> np.ndarray:
-        """By item and document of a block, a score that the document can't exceed."""
+    def _adds(self, block: dict) -> np.ndarray:
+        """By term and document of a block, the most that the term can add to the document's score."""
         sizes, bits = np.asarray(block["sizes"], np.int64), int(block["bits"])
         slices = np.frombuffer(block["slices"], np.uint8).reshape(1 << bits, -1)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.numbers), np.uint64, len(self.numbers))
         norms = np.array([self.norm(n) for n in sizes.tolist()], np.int64)
-        most = np.zeros((len(hashes), len(sizes)), np.int64)
+        adds = np.zeros((len(hashes), len(sizes)), np.int64)
         rows, held, level = np.arange(len(hashes)), None, 0
         while len(rows):
-            both = np.bitwise_and.reduce(slices[places(hashes[rows], level, bits)], axis=0)
-            held = both if held is None else held & both
+            for place in places(hashes[rows], level, bits):
+                held = slices[place] if held is None else held & slices[place]
             some = held.any(axis=1)
             rows, held = rows[some], held[some]
             at, doc = np.nonzero(np.unpackbits(held, axis=1, count=len(sizes)))
-            most[rows[at], doc] = np.minimum((2 << level) - 1, sizes[doc])
+            most = np.minimum((2 << level) - 1, sizes[doc])
+            adds[rows[at], doc] = self.weights[rows[at]] * self.shares(most, norms[doc])
             level += 1
-        adds = np.where(most > 0, self.shares(most, norms[None, :]), 0) * self.weights[:, None]
+        return adds
+
+    def bounds(self, block: dict) -> np.ndarray:
+        """By item and document of a block, a score that the document can't exceed."""
+        adds = self._adds(block)
+        return np.stack([adds[at].sum(axis=0) for at in self.items])
+
+    def guesses(self, block: dict) -> np.ndarray:
+        """By item and document of a block, a likely score: slices of rare terms are met by chance more often than by the term."""
+        slices = np.frombuffer(block["slices"], np.uint8)
+        chance = (np.bitwise_count(slices).sum() / (len(block["ids"]) << int(block["bits"]))) ** HASHES
+        share = self.holding / self.documents
+        adds = self._adds(block) * (share / (share + chance + 1e-12))[:, None]
         return np.stack([adds[at].sum(axis=0) for at in self.items])
 
     def scores(self, text: str, items: Sequence[int]) -> list[int]:
@@ -178,7 +196,8 @@ def query_of(items: Sequence[str | None], df: DataFrame, text_col: str = "text")
         return None
     weights = [floor(1000 * log((2 * documents + 2) / (2 * counts.get(i, 0) + 1))) for i in range(len(numbers))]
     own = [np.array([numbers[t] for t in ts], np.int64) for ts in wanted]
-    return Query(numbers, np.array(weights, np.int64), own, documents, length)
+    holding = np.array([counts.get(i, 0) for i in range(len(numbers))], np.int64)
+    return Query(numbers, np.array(weights, np.int64), own, holding, documents, length)
 
 
 def _top(rows: DataFrame, by: str, most: int) -> DataFrame:
@@ -191,24 +210,25 @@ def _top(rows: DataFrame, by: str, most: int) -> DataFrame:
     return ranked.where(F.col("rank") <= most)
 
 
-def best_by_bound(index: DataFrame, query: Query, most: int) -> DataFrame:
-    """(item, id, bound) of the documents with the highest bounds; a task keeps ``most`` per item."""
+def most_likely(index: DataFrame, query: Query, most: int) -> DataFrame:
+    """(item, id, guess) of about ``SEEDS`` * ``most`` documents per item with the highest likely scores."""
+    kept_most = SEEDS_OF_TASK * most
 
     def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bound = np.zeros((len(query.items), 0), np.int64)
+        guess = np.zeros((len(query.items), 0))
         ids = np.zeros((len(query.items), 0), np.int64)
         for batch in batches:
             for block in batch.to_dict("records"):
-                new = query.bounds(block)
-                bound = np.concatenate([bound, new], axis=1)
+                new = query.guesses(block)
+                guess = np.concatenate([guess, new], axis=1)
                 ids = np.concatenate([ids, np.broadcast_to(np.asarray(block["ids"], np.int64), new.shape)], axis=1)
-                if bound.shape[1] > most:
-                    kept = np.argpartition(-bound, most - 1, axis=1)[:, :most]
-                    bound, ids = np.take_along_axis(bound, kept, 1), np.take_along_axis(ids, kept, 1)
-        item, at = np.nonzero(bound)
-        yield pd.DataFrame({"item": item.astype(np.int32), "id": ids[item, at], "bound": bound[item, at]})
+                if guess.shape[1] > kept_most:
+                    kept = np.argpartition(-guess, kept_most - 1, axis=1)[:, :kept_most]
+                    guess, ids = np.take_along_axis(guess, kept, 1), np.take_along_axis(ids, kept, 1)
+        item, at = np.nonzero(guess)
+        yield pd.DataFrame({"item": item.astype(np.int32), "id": ids[item, at], "guess": guess[item, at]})
 
-    return _top(index.mapInPandas(of_batches, "item int, id long, bound long"), "bound", most)
+    return _top(index.mapInPandas(of_batches, "item int, id long, guess double"), "guess", SEEDS * most)
 
 
 def not_excluded(index: DataFrame, query: Query, least: np.ndarray) -> DataFrame:
@@ -269,7 +289,7 @@ def search(
         query = query_of([r["text"] for r in block], df, text_col)
         if query is None:
             break
-        seeds = scored(df, query, best_by_bound(index, query, most), id_col, text_col)
+        seeds = scored(df, query, most_likely(index, query, most), id_col, text_col)
         lasts = _top(seeds, "score", most).groupBy("item").agg(F.count("*").alias("n"), F.min("score").alias("least"))
         least = np.ones(len(block), np.int64)
         for row in lasts.where(F.col("n") == most).collect():  # a number per item of the block
