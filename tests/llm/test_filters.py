@@ -1,6 +1,7 @@
 """Line frequency, url lists, mixing and pages against brute force."""
 
 import html
+import random
 import re
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from delayworks.llm import bloom_cascade, water_filling
 from delayworks.llm.bloom_cascade import Cascade, base_hashes, judge, split_by
 from delayworks.llm.line_frequency import line_hash, measures, repeat_words, verdicts, without_boilerplate
-from delayworks.llm.main_text import extract, labelled_pages, learn, main_text
+from delayworks.llm.main_text import best_region, extract, labelled_pages, learn, main_text
 from delayworks.llm.water_filling import mixed, repetitions, water_fill, word_count
 
 DATA = "/root/testdata/sf0.001"
@@ -221,8 +222,38 @@ def test_pages_of_the_table_without_their_marks(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     weights = learn(labelled_pages(pages))
     for row in pages.select("html").collect():
-        unmarked = re.sub(r"<(/?)article>", r"<\1div>", row["html"])
-        assert extract(unmarked, weights) == extract(row["html"], weights)
+        for element in ("div", "section", "page-text"):
+            unmarked = re.sub(r"<(/?)article>", rf"<\1{element}>", row["html"])
+            assert extract(unmarked, weights) == extract(row["html"], weights)
+
+
+LONG = "Words of the text go on and on here, as many as it takes. " * 8
+
+
+@pytest.mark.parametrize("body, text", [
+    (f"<div class=post><p>{LONG}</p><p>{LONG}</p></div><article class='teaser'><p>Teaser</p></article>", f"{LONG}{LONG}Teaser"),
+    (f"<main><p>x</p></main><div>{LONG}</div>", f"x {LONG}"),
+    (f"<div id=t><h1>Head</h1><p>{LONG}</p></div><div class=comments><p>nice</p></div><div id=xyz>All rights reserved.</div>", f"Head {LONG}"),
+    (f"<div id=t><h1>Head</h1><p>{LONG}</p></div><div class='post-sidebar-left has'><p>Other things</p></div>", f"Head {LONG}"),
+    (f"<div><header><h1>Head</h1></header><p>{LONG}</p></div><header><h1>Site</h1></header>", f"Head {LONG}"),
+    (f"<div><header><h1>Site</h1><a href=a>a</a><a href=b>b</a></header><p>{LONG}</p></div>", LONG),
+])
+def test_marks_are_no_feature(spark, body, text):
+    """The same text whether a page marks it or not, and none of it lost where something else is marked."""
+    if not Path(DATA).exists():
+        pytest.skip("no test tables")
+    weights = learn(labelled_pages(spark.read.parquet(f"{DATA}/pages.parquet")))
+    assert extract(f"<html><body>{body}</body></html>", weights) == text.strip()
+
+
+def test_the_scan_finds_the_greatest_sum():
+    rng = random.Random(6)
+    for _ in range(500):
+        values = [rng.randrange(-4, 5) / 2 for _ in range(rng.randrange(25))]
+        sums = {(i, j): sum(values[i:j]) for i in range(len(values)) for j in range(i + 1, len(values) + 1)}
+        best = max(sums.values(), default=0)
+        i, j = best_region(values)
+        assert (i, j) == (0, 0) if best <= 0 else sums[i, j] == best
 
 
 def test_words_score_by_place_on_unmarked_pages():
