@@ -5,9 +5,10 @@ script and case) by a keyed hash of the characters before it, and then by one of
 the surrogate depends on all of the entity and the key, keeps its format, script and case, and both
 passes can be undone: different entities get different surrogates, and one entity has the same one
 everywhere, with nothing to look up. Names are replaced word by word and keep titles and last
-letters, which carry the gender. A check over all entities of the corpus makes sure that no
-surrogate is itself an entity of the corpus or another one's surrogate: an entity for which it is takes
-tweaks of the key of its own until it isn't.
+letters, which carry the gender. A check over all units of the corpus, which are the words of names and the
+other entities as a whole, makes sure that no surrogate is itself a unit of the corpus or another one's
+surrogate: a unit for which it is takes tweaks of the key of its own until it isn't. As a word has one surrogate whatever
+stands around it, "Mr Bi", "Dr Anna Bi" and "Bi" stay one name.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from delayworks.llm.tables import free_name, stored
 
 TWEAKS = 64
-#: From this tweak on, surrogates of names, emails and phones get longer: few short ones may be free.
+#: From this tweak on, surrogates get longer, but for IP addresses: few short ones may be free.
 LONGER = 4
 
 # The letters that move within their class, by script and case.
@@ -165,8 +166,8 @@ def surrogate(value: Column, key: str, tweak: int = 0) -> Column:
         whole = (
             F.when(kind == "name", F.regexp_replace(value, "(.)$", f"{'an' * more}$1"))
             .when(kind == "email", F.concat(F.lit("an" * more), value))
-            .when(kind == "phone", F.concat(value, F.lit("00" * more)))
-            .otherwise(value)
+            .when(kind == "ip", value)
+            .otherwise(F.concat(value, F.lit("00" * more)))
         )
     typed = F.struct(kind.alias("kind"), whole.alias("value"))
     return _once(typed, lambda p: _once(cut(p), made))
@@ -178,6 +179,22 @@ def entities(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def _title(value: Column) -> Column:
+    """The title of a name and the space behind it; nothing for other entities."""
+    return F.regexp_extract(value, rf"^{_TITLE} ", 0)
+
+
+def units(value: Column) -> Column:
+    """What gets a surrogate of its own: each word of a name, and any other entity as a whole."""
+    title = _title(value)
+    words = F.split(F.substring(value, F.length(title) + 1, F.length(value)), " ")
+    return F.when(title != "", words).otherwise(F.array(value))
+
+
+def _units_of(text: Column) -> Column:
+    return F.flatten(F.transform(entities(text), units))
+
+
 def collisions(found: DataFrame, key: str, tweak: int) -> int:
     """How many of the corpus's entities (value) have a surrogate that another one has, or that is an entity itself."""
     made = found.select("value", surrogate(F.col("value"), key, tweak).alias("made"))
@@ -194,12 +211,14 @@ def _judged(made: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def exceptions(found: DataFrame, key: str) -> DataFrame | None:
-    """(value, made) of the entities (value) whose surrogate isn't that of tweak 0; None without any.
+    """(value, made) of the units (value) whose surrogate isn't that of tweak 0; None without any.
 
-    Only entities whose surrogate is taken get another tweak, round by round, until it is neither an
-    entity nor another surrogate.
+    Only units whose surrogate is taken get another tweak, round by round, until it is neither a
+    unit nor another surrogate.
     """
     value = F.col("value")
+    # a small table is one task else, however long its units take
+    found = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value")
     every = _judged(found.select(value, surrogate(value, key).alias("made")), found.select(value.alias("made")))
     pending = every.where("bad").select("value")
     used = found.select(value.alias("made")).union(every.select("made"))
@@ -244,12 +263,12 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text", count_col: st
     """The rows with surrogates in the text; NULL stays NULL. ``count_col`` gets the number of entities.
 
     The words of a name found in a text are also replaced where they stand without a title in that
-    text; these mentions aren't counted. No surrogate is an entity of the corpus or the surrogate of
-    another one. Two passes over the text; entities are shuffled once, distinct per task. If some need
+    text; these mentions aren't counted. No surrogate is a unit of the corpus or the surrogate of
+    another one (see ``units``). Two passes over the text; units are shuffled once, distinct per task. If some need
     a tweak of their own, these are joined to the texts that hold them.
     """
     text = F.col(text_col).cast("string")
-    found = df.select(F.explode(entities(text)).alias("value")).distinct()
+    found = df.select(F.explode(_units_of(text)).alias("value")).distinct()
     found = stored(found, "entities")
     special = exceptions(found, key)
     names = [c for c in df.columns if c != count_col] + ([count_col] if count_col else [])
@@ -268,10 +287,11 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text", count_col: st
     if special is None:
         return woven(rows, lambda v: surrogate(v, key))
     digest, mark = F.sha2(text, 256), free_name(df, "digest")
-    holders = df.select(digest.alias(mark), F.explode(entities(text)).alias("value")).distinct()
+    holders = df.select(digest.alias(mark), F.explode(_units_of(text)).alias("value")).distinct()
     fixes = holders.join(special, "value").groupBy(mark).agg(F.collect_list(F.struct("value", "made")).alias(own))
     some = rows.where(F.size(held) > 0).withColumn(mark, digest).join(stored(fixes, "fixes"), mark, "left")
     fixed = lambda v: F.get(F.filter(F.coalesce(F.col(own), F.array().cast(fixes.schema[own].dataType)), lambda p: p["value"] == v), F.lit(0))["made"]
-    return woven(some, lambda v: F.coalesce(fixed(v), surrogate(v, key))).union(
+    made_of = lambda v: F.array_join(F.transform(units(v), lambda u: F.coalesce(fixed(u), surrogate(u, key))), " ")
+    return woven(some, lambda v: F.concat(_title(v), made_of(v))).union(
         woven(rows.where(F.size(held) == 0), lambda v: surrogate(v, key))
     )

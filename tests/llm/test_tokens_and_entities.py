@@ -164,6 +164,46 @@ def test_no_surrogate_is_a_real_entity_or_another_surrogate(spark, documents):
     assert all(got[i]["text"].startswith(f"see {m};") for i, m in enumerate(made[:20]))
 
 
+def test_a_name_is_one_name_under_any_title(spark, documents):
+    """Also where its surrogate is taken: 21 names that can only become each other."""
+    names = [f"{c.upper()}i" for c in "bcdfghjklmnpqrstvwxyz"]
+    rows = [(i, f"Mr {n} met us; Dr {n} left. {n} slept, and Frau {n} Müller saw Herr Anna {n}.", "s") for i, n in enumerate(names)]
+    made = {}
+    for row in pseudonymised(documents(rows), "k").collect():
+        found = re.fullmatch(r"Mr (\w+) met us; Dr (\w+) left\. (\w+) slept, and Frau (\w+) (\w+) saw Herr (\w+) (\w+)\.", row["text"])
+        a, b, c, d, _, _, e = found.groups()
+        assert a == b == c == d == e
+        made[names[row["doc_id"]]] = a
+    assert len(set(made.values())) == len(names) and not set(made.values()) & set(names)
+
+
+def test_texts_equal_a_replacement_by_dictionary(spark, documents):
+    """Every unit found anywhere has one surrogate, in all texts, and no two units have the same one."""
+    rng = random.Random(8)
+    words = ["Bi", "Ci", "Di", "Smith", "Schmidt", "Anna", "Jane", "Lee", "O'Neil"]
+    others = [f"{rng.randrange(256)}.{rng.randrange(256)}.1.2" for _ in range(6)] + [f"x{i}@example.org" for i in range(6)]
+    rows = []
+    for i in range(60):
+        name = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4)))
+        rows.append((i, f"{rng.choice(['Mr', 'Dr.', 'Frau'])} {name}; {rng.choice(others)}", "s"))
+    known = {}
+    for row in pseudonymised(documents(rows), "k").collect():
+        (before_name, before), (name, other) = rows[row["doc_id"]][1].split("; "), row["text"].split("; ")
+        assert name.split(" ")[0] == before_name.split(" ")[0]
+        pairs = [*zip(before_name.split(" ")[1:], name.split(" ")[1:], strict=True), (before, other)]
+        for old, new in pairs:
+            assert known.setdefault(old, new) == new
+    assert len(set(known.values())) == len(known) and not set(known) & set(known.values())
+
+
+@pytest.mark.parametrize("value", ["4041 8949 7460 8795", "123-45-6789", "ghp_" + "abcdefghijklmnopqrst" + "abcdefghijklmnop", "a@example.com", "Li"])
+def test_late_tweaks_make_longer_surrogates(spark, value):
+    from delayworks.llm.surrogates import LONGER
+
+    made = spark.range(1).select(*(surrogate(F.lit(value), "k", t).alias(f"t{t}") for t in (0, LONGER, LONGER + 3))).first()
+    assert len(made[0]) == len(value) < len(made[1]) < len(made[2])
+
+
 def test_later_mentions_of_a_name_follow_it(spark, documents):
     text = "Dr. Jane Smith called. Smith agreed, Smith's aunt and Jane signed; Smithson and smith did not."
     rows = [(1, text, "s"), (2, "Smith and Jane have no title here, Mr. Brown has.", "s")]
