@@ -31,12 +31,8 @@ WITH texts AS (
     SELECT row, count(*) AS n_dup_lines FROM (
         SELECT row FROM lines WHERE n_words > 0 QUALIFY row_number() OVER (PARTITION BY row, line ORDER BY pos) > 1
     ) GROUP BY row
-), hosts AS (
-    SELECT source, count(DISTINCT text) AS n FROM texts GROUP BY source
 ), boilerplate AS (
-    SELECT l.source, l.plain FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-    WHERE plain <> '' GROUP BY l.source, l.plain, h.n
-    HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.01 * h.n
+    SELECT source, plain FROM lines WHERE plain <> '' GROUP BY source, plain HAVING count(DISTINCT row) > 20
 ), lost AS (
     SELECT row, sum(n_words) AS n FROM lines l JOIN boilerplate b
         ON l.source IS NOT DISTINCT FROM b.source AND l.plain = b.plain GROUP BY row

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from delayworks.llm import bloom_cascade, water_filling
 from delayworks.llm.bloom_cascade import Cascade, base_hashes, judge, split_by
-from delayworks.llm.line_frequency import line_hash, measures, repeat_words, verdicts, without_boilerplate
+from delayworks.llm.line_frequency import line_hash, measures, repeat_words, verdicts, without_boilerplate, without_lines
 from delayworks.llm.main_text import best_region, extract, labelled_pages, learn, main_text
 from delayworks.llm.water_filling import mixed, repetitions, water_fill, word_count
 
@@ -41,17 +41,51 @@ def test_boilerplate_lines_and_depleted_documents(spark, documents):
     menu = "Home | About | Contact us today"
     rows = [(i, f"{menu}\nown words number {i} and some more of them here", "h") for i in range(30)]
     rows += [(100 + i, f"{menu}\nonly {i}", "h") for i in range(3)]  # little besides the menu
-    rows += [(200 + i, "a copied text stands often but is one text", "h") for i in range(40)]
+    rows += [(200 + i, "a copied text stands often and every copy counts", "h") for i in range(40)]
+    rows += [(400 + i, "a text with few copies", "h") for i in range(20)]
     rows += [(300, menu, "other"), (301, menu, None), (302, None, None), (303, "", "h"), (None, menu, "h"), (303, "", "h")]
     got = [(r["id"], r["boilerplate_words"], r["depleted"]) for r in verdicts(documents(rows)).collect()]
     assert len(got) == len(rows)
     by = {i: (n, gone) for i, n, gone in got}
     assert by[0] == (7, False) and by[100] == (7, True) and by[None] == (7, True)
-    assert by[200] == (0, False) and by[300] == by[301] == by[302] == by[303] == (0, False)
+    assert by[200] == (9, True) and by[400] == (0, False)
+    assert by[300] == by[301] == by[302] == by[303] == (0, False)
     assert verdicts(documents([])).collect() == []
     assert without_boilerplate(f"{menu}\nown", {line_hash(menu)}) == "own"
 
 
+def test_limits_do_not_grow_with_the_host(spark, documents):
+    """A footer in 30 of 4,000 documents, and 500 copies of a page that is only a footer."""
+    footer, page = "all rights reserved 2024", "imprint of the site"
+    own = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(4000)]  # digits are all alike in a line
+    rows = [(i, f"words of {w} which nobody else has\n{footer}" if i % 133 == 0 else f"page of {w}", "h") for i, w in enumerate(own)]
+    rows += [(5000 + i, page, "h") for i in range(500)]
+    by = {r["id"]: (r["boilerplate_words"], r["depleted"]) for r in verdicts(documents(rows)).collect()}
+    assert [i for i in by if i < 5000 and by[i][0]] == [i for i in by if i < 5000 and i % 133 == 0] and by[133] == (4, False)
+    assert all(by[5000 + i] == (4, True) for i in range(500))
+
+
+def test_lines_over_the_limit_are_removed(spark, documents):
+    rng = random.Random(12)
+    lines = [f"line {chr(97 + i)} of many" for i in range(12)]
+    rows = [(i, "\n".join(rng.choices(lines, range(1, 13), k=rng.randrange(4)) + [f"own {'abc'[i % 3] * (i + 1)}"]), rng.choice(["h", "k", None])) for i in range(120)]
+    rows += [(200, None, "h"), (201, "", "h"), (201, "", "h"), (None, lines[0], "h"), (203, lines[11], "h")]
+    frame = documents([(*r, "mine") for r in rows], ", boilerplate_lost string")
+    held = defaultdict(set)
+    for row, (_, text, host) in enumerate(rows):
+        for line in (text or "").split("\n"):
+            held[host, line_hash(line)].add(row)
+    expected = []
+    for i, text, host in rows:
+        kept = [line for line in (text or "").split("\n") if line_hash(line) is None or len(held[host, line_hash(line)]) <= 9]
+        if 2 * len(" ".join(kept).split()) >= len((text or "").split()):
+            expected.append((i, None if text is None else "\n".join(kept), host, "mine"))
+    got = without_lines(frame, most_documents=9)
+    assert got.columns == frame.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr) and len(expected) < len(rows)
+    assert without_lines(documents([])).collect() == []
+
+
 def test_cascade_is_exact_for_all_keys(spark):
     universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = spark.range(0, 6000, 7).select(F.concat(F.lit("k"), "id").alias("key"))
