@@ -35,22 +35,43 @@ def hash_bucket(id_col: str, seed: int) -> Column:
 def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame:
     """(source, source_size, weight) with ``target``: ``share`` of all sizes, by weight, under the caps.
 
-    Sources are clamped in the order of cap to weight. The level at a source is what the sources
-    before it leave, over the weights from it on; the level rises while sources are clamped and falls
-    after, so the greatest is the one that holds. One row per source goes through one task here.
+    Round by round, the level is what the clamped sources leave over the weights of the others, and
+    sources whose cap is below it are clamped, until none is. A round is one aggregate, which gives two numbers.
     Weights that are NULL, zero or negative take nothing.
     """
     weight = F.greatest(F.coalesce("weight", F.lit(0.0)).cast("double"), F.lit(0.0))
     caps = sources.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(max_epochs)))
-    order = Window.orderBy(F.col("cap") / F.nullif("weight", F.lit(0.0)), F.col("source").asc_nulls_last())
-    to_here, whole = order.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
-    weighed = caps.where("weight > 0")
-    before = F.sum("cap").over(to_here) - F.col("cap")
-    rest = F.sum("weight").over(whole) - F.sum("weight").over(to_here) + F.col("weight")
-    budget = weighed.crossJoin(F.broadcast(sources.agg((F.sum("source_size") * F.lit(float(share))).alias("budget"))))
-    level = budget.select(((F.col("budget") - before) / rest).alias("level")).agg(F.max("level").alias("level"))
-    filled = F.least(F.col("cap"), F.coalesce(F.col("level"), F.lit(0.0)) * F.col("weight"))
-    return caps.crossJoin(F.broadcast(level)).select("source", "source_size", "weight", F.greatest(filled, F.lit(0.0)).alias("target"))
+    caps = stored(caps, "caps")
+    budget = (caps.agg(F.sum("source_size")).first()[0] or 0) * float(share)
+    level, before = 0.0, None
+    while before is None or level > before:
+        clamped = F.col("cap") <= F.col("weight") * F.lit(level)
+        left = F.sum(F.when(~clamped, F.col("weight"))).alias("open")
+        row = caps.where("weight > 0").agg(F.sum(F.when(clamped, F.col("cap"))).alias("clamped"), left).first()
+        if not row["open"]:
+            level = float("inf")
+            break
+        before, level = level, max(level, (budget - (row["clamped"] or 0.0)) / row["open"])
+    filled = F.when(F.col("weight") > 0, F.least(F.col("cap"), F.col("weight") * F.lit(level))).otherwise(F.lit(0.0))
+    return caps.select("source", "source_size", "weight", F.greatest(filled, F.lit(0.0)).alias("target"))
+
+
+def numbered(sources: DataFrame) -> DataFrame:
+    """The rows with ``number``, from 0 in the order of ``source``, NULL last.
+
+    Sorted by ranges, each on its own; only the ranges' sizes come together.
+    """
+    ranges = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col("source").asc_nulls_last()
+    dealt = sources.repartitionByRange(ranges, order).sortWithinPartitions(order)
+    dealt = stored(dealt.withColumn("place", F.monotonically_increasing_id()), "ranges")
+    held = F.shiftrightunsigned("place", 33).alias("held")
+    sizes = dealt.groupBy(held).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("held").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("held", F.coalesce(before, F.lit(0)).alias("start"))  # a row per range
+    placed = dealt.withColumn("held", held).join(F.broadcast(starts), "held")
+    number = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*sources.columns, number.alias("number"))
 
 
 def plan(
@@ -62,9 +83,8 @@ def plan(
     """
     sums = stored(sizes.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "buckets")
     totals = sums.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     cycle = F.array(*(F.lit(float(w)) for w in weights))
-    weighed = totals.withColumn("weight", F.get(cycle, turn))
+    weighed = numbered(totals).withColumn("weight", F.get(cycle, (F.col("number") % len(weights)).cast("int"))).drop("number")
     targets = stored(water_fill(weighed, share, max_epochs), "targets")
     epochs = F.coalesce(F.col("target") / F.nullif(F.col("source_size").cast("double"), F.lit(0.0)), F.lit(0.0))
     targets = targets.withColumn("whole", F.floor(epochs)).withColumn(

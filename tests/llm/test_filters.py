@@ -155,6 +155,31 @@ def test_water_filling_equals_rounds(spark, share):
     assert got == pytest.approx(filled(sizes, weights, share, 2))
 
 
+def test_sources_are_numbered_in_order(spark):
+    rng = random.Random(3)
+    names = [None, "", "a", "ä", "z", "Z", "\U0001f600", "\uffee", *(f"s{rng.randrange(10**6)}" for _ in range(500))]
+    rows = list(dict.fromkeys(names))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame([(s, 1) for s in rows], "source string, more int").repartition(7)
+    got = sorted((r["number"], r["source"]) for r in water_filling.numbered(frame).collect())
+    ordered = sorted((s for s in rows if s is not None), key=lambda s: s.encode()) + [None]
+    assert got == list(enumerate(ordered))
+
+
+def test_very_many_sources(spark):
+    """As many sources as documents: targets equal rounds of clamping, and no task gets them all."""
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("s"), "id").alias("source"), F.lit(0).alias("bucket"), (F.col("id") % 97 + 1).alias("size")
+    )
+    made = water_filling.plan(rows).select("source", "source_size", "target", "weight").toPandas()
+    assert made["target"].sum() == pytest.approx(1.5 * made["source_size"].sum())
+    assert (made["target"] <= 2 * made["source_size"]).all()
+    free = made[made["target"] < 2 * made["source_size"]]
+    assert (free["target"] / free["weight"]).round(6).nunique() == 1
+    made = made.sort_values("source")
+    assert made["weight"].tolist()[:7] == [3, 1, 2, 3, 1, 2, 3] and set(made["weight"]) == {1, 2, 3}
+
+
 def test_mix_is_near_its_targets_and_repeatable(spark, documents):
     rows = [(i, "w " * (1 + i * 37 % 200), None if i % 9 == 0 else f"s{i % 5}") for i in range(3000)]
     frame = documents([(*r, "x") for r in rows], ", mix_copy string")
