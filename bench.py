@@ -28,7 +28,10 @@ HEADLINE = (
     "bronze_stream",
     "silver_stream",
     "silver_stream_clean",
+    "silver_stream_stored",
     "gold_stream_append",
+    "gold_stream_append_partitioned",
+    "gold_stream_arrival",
     "gold_stream_changes",
     "gold_stream_event_time",
 )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 #: Bits of a filter, in bitmaps of 4 kB: 2 MB at most, however many keys.
 FILTER_BITS = 1 << 24
 _BUCKET, _POSITION, _BITS = "__bucket", "__position", "__bits"
+FILTER_SCHEMA = f"{_BUCKET} long, {_BITS} binary"
 
 
 def _bit(key: Column, bits: int) -> tuple[Column, Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayworks.functions import column, flight_day_instant
-from delayworks.operators.key_filter import FILTER_BITS, key_filter, maybe_known, united
+from delayworks.operators.key_filter import FILTER_BITS, FILTER_SCHEMA, key_filter, maybe_known, united
 from delayworks.plans.silver import clean_flights
 from delayworks.schema import FLIGHT_KEY
 from delayworks.sinks.batches import (
@@ -119,7 +119,7 @@ def _unknown(
 ) -> DataFrame:
     """The rows whose key is in none of the folders."""
     spark = rows.sparkSession
-    filters = spark.read.parquet(*(f"{run}/{_FILTER}{f.name}" for f in met))
+    filters = spark.read.schema(FILTER_SCHEMA).parquet(*(f"{run}/{_FILTER}{f.name}" for f in met))
     marked = maybe_known(rows, F.col(_KEY), united(filters), _MAYBE, filter_bits)
     asked = marked.where(_MAYBE).drop(_MAYBE)
     stored = read_folders(spark, run, met, held.schema, held.fmt).where(dates).select(key.alias(_KEY))
@@ -136,7 +136,7 @@ def compact_silver(spark: SparkSession, path: str, remove: bool = False, partiti
     """Put the flights of all micro-batches into one folder, with one filter."""
 
     def beside(run: str, held: Manifest, base: Folder) -> dict:
-        filters = spark.read.parquet(*(f"{run}/{_FILTER}{f.name}" for f in held.folders))
+        filters = spark.read.schema(FILTER_SCHEMA).parquet(*(f"{run}/{_FILTER}{f.name}" for f in held.folders))
         write_batch(united(filters), f"{run}/{_FILTER}{base.name}")
         spans = [held.notes[_DATES][f.name] for f in held.folders]
         low = min((s["low"] for s in spans if s["low"] is not None), default=None)
