@@ -111,6 +111,9 @@ def silver_stream(
         store_counts(spark, sink.path, counts)
         return query
     flights = counted(dedup_stream(counted(raw), FLIGHT_KEY, hot_key_splits=hot_key_splits), out=True)
+    # The state keeps its shuffle partitions; the sink writes a file per core and micro-batch, not one per
+    # partition, so a stream that reads this table a few files at a time takes few micro-batches.
+    flights = flights.coalesce(spark.sparkContext.defaultParallelism)
     return _with_counts(spark, sink, run_available(spark, sink.write(clean_flights(flights) if clean else flights)))
 
 

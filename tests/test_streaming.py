@@ -272,6 +272,21 @@ def test_silver_does_not_clean_unless_asked(spark, landing, config):
     assert (cleaned["DepDelay"], cleaned["ArrDelayMinutes"], cleaned["is_delayed_15"]) == (0.0, 0.0, 0)
 
 
+def test_silver_writes_a_file_per_core_not_per_state_partition(spark, landing, config):
+    """A stream that reads silver a few files at a time must not take a micro-batch per state partition."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        job = config(landing(*({"CRSDepTime": 600 + n} for n in range(200))), "silver")
+        query = silver_stream(spark, *job)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    table, batches = job[1]["datasetOuputPath"], len(query.recentProgress)
+    assert read_batch(spark, table).select(*FLIGHT_KEY).distinct().count() == 200
+    files = spark.read.format("binaryFile").load(f"{table}/*.parquet").select("path").count()
+    assert files <= batches * spark.sparkContext.defaultParallelism
+
+
 def test_hot_key_split_gives_the_same_keys(spark, tmp_path):
     rows = spark.range(0, 20_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("k"), "id"
