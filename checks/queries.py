@@ -101,11 +101,13 @@ def _as_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FILES = 8
 BATCHES = 4
+ROWS_PER_FILE = 250_000
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """The rows in so many files, every file with rows of all dates."""
-    return df.repartition(FILES)
+def _spread(df: DataFrame, least: int = FILES) -> DataFrame:
+    """The rows in so many files at least, and in more as they grow, so that no task takes more than
+    ``ROWS_PER_FILE`` rows; every file with rows of all dates."""
+    return df.repartition(max(least, -(-df.count() // ROWS_PER_FILE)))
 
 
 _LANDINGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -442,7 +444,7 @@ def q_bronze_stream_archived(spark, sf_dir):
     job = _stream_config(f"{folder}/in", folder, file_cap=1)
     job[0]["autoloaderOptions"]["archivePath"] = f"{folder}/archive"
     for number in range(3):
-        part = flights.where(F.col("l_linenumber") % 3 == number).select(*_RAW).repartition(BATCHES)
+        part = _spread(flights.where(F.col("l_linenumber") % 3 == number).select(*_RAW), BATCHES)
         write_batch(part, f"{folder}/new/{number}")
         _set_age(spark, f"{folder}/new/{number}", 30 * (number == 1))
         _move_files(spark, f"{folder}/new/{number}", f"{folder}/in")
@@ -481,7 +483,7 @@ def q_bronze_stream_drift(spark, sf_dir):
         flights.where("l_linenumber % 3 = 2").withColumn("Distance", far).select(*_RAW),
     )
     for shape in shapes:
-        write_batch(shape.repartition(3), f"{folder}/in", mode="append")
+        write_batch(_spread(shape, 3), f"{folder}/in", mode="append")
     job = _stream_config(f"{folder}/in", folder, rescue_column="_rescued_data")
     many(bronze_stream(spark, *job, run_date=RUN_DATE, by_file_schema=True))
     return read_bronze(spark, f"{folder}/table")
