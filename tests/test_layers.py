@@ -136,3 +136,22 @@ def test_partitioned_write_splits_a_value_that_holds_most_rows(spark, tmp_path):
     stored = read_batch(spark, f"{tmp_path}/out")
     assert stored.groupBy("city").count().orderBy("city").collect() == [("cold", 120_000), ("hot", 280_000)]
     assert len(list((tmp_path / "out" / "city=hot").glob("*.parquet"))) > 2
+
+
+def test_silver_shuffle_grows_with_the_bronze_flights(spark, flights, tmp_path, monkeypatch):
+    from delayworks.plans import batch
+
+    write_batch(flights(*({"CRSDepTime": t} for t in range(40))), f"{tmp_path}/raw")
+    bronze = bronze_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/b_YYYY_MM_DD", RUN)
+    monkeypatch.setattr(batch, "ROWS_PER_TASK", 5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        silver = silver_batch(spark, f"{tmp_path}/b_YYYY_MM_DD", f"{tmp_path}/s_YYYY_MM_DD", RUN)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert read_batch(spark, silver).count() == read_batch(spark, bronze).count() == 40
+    # 40 flights, at most 5 a task: 8 partitions of the flight key, of which two at most before
+    assert len(list((tmp_path / "s_2024_03_05").glob("*.parquet"))) > 2
