@@ -381,7 +381,8 @@ def _with_broken_lines(spark: SparkSession, sf_dir: str, path: str) -> str:
     flights = derive_flights(spark, sf_dir, keep_order=True)
     broken = F.concat(F.lit("{broken "), F.concat_ws(" ", *FLIGHT_ORDER))
     line = F.when(F.col("l_orderkey") % 29 == 0, broken).otherwise(F.to_json(F.struct(*_RAW)))
-    _spread(flights.select(line.alias("value"))).write.text(path)
+    # gzip: the lines take a fraction of the disk; files stay small enough for one task each
+    _spread(flights.select(line.alias("value"))).write.option("compression", "gzip").text(path)
     return path
 
 
