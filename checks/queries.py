@@ -147,15 +147,26 @@ def many(query: StreamingQuery, batches: int = BATCHES) -> StreamingQuery:
     return query
 
 
+def _files(spark: SparkSession, path: str) -> int:
+    """The number of files of a folder or pattern that streams would take; none are read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+    return len(spark.read.format("binaryFile").load(path).inputFiles()) if there else 0
+
+
 def _stream_config(
     source: str,
     folder: str,
     output_mode: str = "append",
     rescue_column: str | None = None,
     file_cap: int = 2,
+    files: int = FILES,
     **output,
 ) -> tuple[dict, dict]:
-    options = {"cloudFiles.format": "parquet", "cloudFiles.maxFilesPerTrigger": str(file_cap)}
+    """The job's two dictionaries. ``file_cap`` is meant for the least landing of ``FILES`` files; where a run
+    meets more ``files``, the cap grows with them, so a micro-batch takes the same share of the run's input."""
+    cap = max(file_cap, files * file_cap // FILES)
+    options = {"cloudFiles.format": "parquet", "cloudFiles.maxFilesPerTrigger": str(cap)}
     if rescue_column:
         options["cloudFiles.rescuedDataColumn"] = rescue_column
     return (
@@ -406,8 +417,11 @@ def _broken_lines_stream(by_file_schema: bool):
 # --- streaming jobs ---------------------------------------------------------
 
 
-def _add_files(df: DataFrame, path: str) -> None:
+def _add_files(df: DataFrame, path: str) -> int:
+    """Add the rows in new files; the number of them."""
+    before = _files(df.sparkSession, path)
     write_batch(_spread(df), path, mode="append")
+    return _files(df.sparkSession, path) - before
 
 
 def _set_age(spark: SparkSession, path: str, days: int) -> None:
@@ -645,12 +659,14 @@ def q_gold_stream_arrival(spark, sf_dir):
 def q_layers_stream(spark, sf_dir):
     """Three streaming jobs in a row; which copy survives is open, so counts only."""
     folder = scratch_dir(spark, "layers-stream")
-    bronze = _stream_config(landed(spark, sf_dir, "flights"), f"{folder}/bronze")
-    silver = _stream_config(f"{folder}/bronze/table", f"{folder}/silver")
-    gold = _stream_config(f"{folder}/silver/table", f"{folder}/gold")
-    many(bronze_stream(spark, *bronze, run_date=RUN_DATE))
-    many(silver_stream(spark, *silver))
-    many(gold_stream(spark, *gold))
+
+
+    def job(source: str, layer: str) -> tuple[dict, dict]:
+        return _stream_config(source, f"{folder}/{layer}", files=_files(spark, source))
+
+    many(bronze_stream(spark, *job(landed(spark, sf_dir, "flights"), "bronze"), run_date=RUN_DATE))
+    many(silver_stream(spark, *job(f"{folder}/bronze/table", "silver")))
+    many(gold_stream(spark, *job(f"{folder}/silver/table", "gold")))
     return read_totals(spark, f"{folder}/gold/table").select(*DAILY_ROUTE_KEY, "flights_count")
 
 
