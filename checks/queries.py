@@ -540,9 +540,10 @@ def q_silver_stream_bounded(spark, sf_dir):
 def q_silver_stream_stored(spark, sf_dir):
     """Two deliveries of the same flights; the last micro-batch of each is run again."""
     folder = scratch_dir(spark, "silver-stored")
-    flights, job = read_batch(spark, landed(spark, sf_dir, "flights")), _stream_config(f"{folder}/in", folder)
+    flights = read_batch(spark, landed(spark, sf_dir, "flights"))
     for _ in range(2):
-        _add_files(flights, f"{folder}/in")
+        files = _add_files(flights, f"{folder}/in")
+        job = _stream_config(f"{folder}/in", folder, files=files)
         many(silver_stream(spark, *job, stored=True))
         _undo_last_commit(spark, f"{folder}/checkpoint")
         many(silver_stream(spark, *job, stored=True), 1)

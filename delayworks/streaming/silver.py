@@ -32,7 +32,7 @@ from delayworks.sinks.commits import removed
 from delayworks.sinks.files import write_batch
 from delayworks.streaming.late import split_late
 
-_KEY, _MAYBE = "__key", "__maybe_known"
+_KEY, _KNOWN, _MAYBE = "__key", "__known_key", "__maybe_known"
 _DATES = "dates"
 _FILTER = "filter-"
 
@@ -87,11 +87,10 @@ def write_new_flights(
         rows_in = span.pop("rows")
         spans = held.notes.get(_DATES, {})
         met = [f for f in held.folders if f.number != batch_id and _meets(span, spans[f.name])]
-        # a struct as key: NULLs in it equal each other, and join and dedup share one shuffle
-        rows = batch.withColumn(_KEY, key).dropDuplicates([_KEY])
+        rows = _one_per_key(batch, keys)
         if met:
             rows = _unknown(rows, run, met, held, _within(date, span), key, filter_bits)
-        rows = rows.drop(_KEY)
+        rows = rows.select(*_unpacked(batch, keys))
         rows = clean_flights(rows) if clean else rows
         folder = write_folder(rows, run, batch_id, fmt, partition_by)
         stored = read_folders(spark, run, [folder], rows.schema, fmt)
@@ -114,17 +113,40 @@ def _dated(notes: dict, folder: Folder, span: dict) -> dict:
     return notes | {_DATES: notes.get(_DATES, {}) | {folder.name: span}}
 
 
+def _key_columns(batch: DataFrame, keys: Sequence[str]) -> dict[str, str]:
+    """The key's name of each column of the frame that is part of the key."""
+    exact = batch.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    names = {k if exact else k.lower(): k for k in keys}
+    return {c: names[n] for c in batch.columns if (n := c if exact else c.lower()) in names}
+
+
+def _one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the key in a struct and its columns only there.
+
+    In the struct NULLs equal each other, and join and dedup share one shuffle. Strings of the key aren't among the
+    values that dedup carries along then, so it is a hash aggregate and sorts nothing.
+    """
+    key = F.struct(*(column(k) for k in keys)).alias(_KEY)
+    rest = [column(c) for c in batch.columns if c not in _key_columns(batch, keys)]
+    return batch.select(key, *rest).dropDuplicates([_KEY])
+
+
+def _unpacked(batch: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The frame's columns in their order, those of the key taken from the struct."""
+    packed = _key_columns(batch, keys)
+    return [F.col(_KEY).getField(packed[c]).alias(c) if c in packed else column(c) for c in batch.columns]
+
+
 def _unknown(
     rows: DataFrame, run: str, met: Sequence[Folder], held: Manifest, dates: Column, key: Column, filter_bits: int
 ) -> DataFrame:
-    """The rows whose key is in none of the folders."""
+    """The rows whose key is in none of the folders. The rows are computed once, and stay where dedup has put them."""
     spark = rows.sparkSession
     filters = spark.read.schema(FILTER_SCHEMA).parquet(*(f"{run}/{_FILTER}{f.name}" for f in met))
     marked = maybe_known(rows, F.col(_KEY), united(filters), _MAYBE, filter_bits)
-    asked = marked.where(_MAYBE).drop(_MAYBE)
-    stored = read_folders(spark, run, met, held.schema, held.fmt).where(dates).select(key.alias(_KEY))
-    known = stored.join(asked.select(_KEY), _KEY, "left_semi")
-    return marked.where(~F.col(_MAYBE)).drop(_MAYBE).unionByName(asked.join(known, _KEY, "left_anti"))
+    stored = read_folders(spark, run, met, held.schema, held.fmt).where(dates).select(key.alias(_KNOWN))
+    known = F.col(_MAYBE) & (F.col(_KEY) == F.col(_KNOWN))
+    return marked.join(stored, known, "left_anti")
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -327,3 +327,26 @@ def test_with_a_delay_the_last_arrivals_wait_for_the_next_run(spark, landing, co
     landing(*ROUTES)
     query = gold_stream(spark, *job, by_arrival=True, delay="10 minutes")
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == len(ROUTES)
+
+
+def test_stored_silver_computes_a_micro_batch_once_and_sorts_nothing_to_dedup(spark, flights, tmp_path, monkeypatch, capsys):
+    from delayworks.streaming import silver
+
+    plans, write_folder = [], silver.write_folder
+
+    def explained(rows, *how):
+        rows.explain("formatted")
+        plans.append(capsys.readouterr().out.split("\n\n")[0])
+        return write_folder(rows, *how)
+
+    monkeypatch.setattr(silver, "write_folder", explained)
+    source = {"datasetInputPath": f"{tmp_path}/in", "autoloaderOptions": {"cloudFiles.format": "parquet"}}
+    sink = {"format": "parquet", "datasetOuputPath": f"{tmp_path}/t", "checkpointPath": f"{tmp_path}/c", "outputMode": "append"}
+    for distance in (1.0, 2.0):
+        rows = flights({"Distance": distance}, {"Distance": distance, "OriginCityName": None}, {"CRSDepTime": int(distance)})
+        rows.write.mode("append").parquet(f"{tmp_path}/in")
+        silver_stream(spark, source, sink, stored=True)
+    assert read_silver(spark, f"{tmp_path}/t").count() == 4
+    first, second = plans
+    assert "SortAggregate" not in first
+    assert second.count("LeftAnti") == 1 and "LeftSemi" not in second and "Union" not in second
