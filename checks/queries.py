@@ -129,16 +129,32 @@ def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
 
 def landed_by_year(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    """A file per year, the years in order: for streams that a watermark bounds."""
+    """Files of consecutive flight dates, the earliest first by their times: for streams that a watermark bounds.
+
+    All are written at once. No date lies in two files, so whatever part a micro-batch takes, no later file has
+    rows behind the watermark of an earlier one.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, f"{kind}-by-year")
     if key not in _LANDED:
         path, flights = scratch_dir(spark, f"landing-{kind}-years"), read_batch(spark, landed(spark, sf_dir, kind))
-        for (year,) in sorted(flights.select("Year").distinct().collect()):
-            write_batch(flights.where(F.col("Year") == year).coalesce(1), path, mode="append")
+        number = max(FILES, -(-flights.count() // ROWS_PER_FILE))
+        write_batch(flights.repartitionByRange(number, "FlightDate"), path)
+        _set_times_by_name(spark, path)
         _LANDED[key] = path
     return _LANDED[key]
 
 
+def _set_times_by_name(spark: SparkSession, path: str) -> None:
+    """Give the files of a folder times a second apart, the last one's the present, in the order of their names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    parts.sort(key=lambda p: int(p.getName().split("-")[1]))
+    now = int(datetime.now(timezone.utc).timestamp() * 1000)
+    for behind, part in enumerate(reversed(parts)):
+        files.setTimes(part, now - behind * 1000, -1)
+
+
 def many(query: StreamingQuery, batches: int = BATCHES) -> StreamingQuery:
     """The query, which must have taken rows in so many micro-batches at least."""
     taken = sum(p["numInputRows"] > 0 for p in query.recentProgress)
@@ -532,7 +548,8 @@ def q_stream_counts(spark, sf_dir):
 
 def q_silver_stream_bounded(spark, sf_dir):
     folder = scratch_dir(spark, "silver-bounded")
-    job = _stream_config(landed_by_year(spark, sf_dir, "flights"), folder, file_cap=1)
+    path = landed_by_year(spark, sf_dir, "flights")
+    job = _stream_config(path, folder, file_cap=1, files=_files(spark, path))
     many(silver_stream(spark, *job, delay="1 day"))
     return read_silver(spark, f"{folder}/table").select(*FLIGHT_KEY)
 
@@ -618,7 +635,7 @@ def q_gold_stream_append_partitioned(spark, sf_dir):
 
 def q_gold_stream_event_time(spark, sf_dir):
     folder, path = scratch_dir(spark, "gold-event-time"), landed_by_year(spark, sf_dir, "unique")
-    job = _stream_config(path, folder, file_cap=1, partitionBy=["OriginCityName"])
+    job = _stream_config(path, folder, file_cap=1, files=_files(spark, path), partitionBy=["OriginCityName"])
     many(gold_stream(spark, *job, delay="1 day", by_event_time=True))
     return read_days(spark, f"{folder}/table")
 

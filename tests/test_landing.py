@@ -3,7 +3,9 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+import checks.queries as queries
 from checks.queries import _with_broken_lines
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,3 +20,17 @@ def test_broken_lines_are_landed_compressed(spark, tmp_path):
     lines = spark.read.text(path)
     assert lines.count() > 0
     assert lines.where("value LIKE '{broken %'").count() > 0
+
+
+def test_files_in_order_of_dates_grow_with_the_rows_and_share_no_date(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 500)
+    monkeypatch.setattr(queries, "_LANDED", {})
+    path = queries.landed_by_year(spark, SMALL, "flights")
+    rows = spark.read.parquet(path).select("FlightDate", "_metadata.file_modification_time", "_metadata.file_name")
+    files = rows.groupBy("file_name", "file_modification_time").agg(
+        F.min("FlightDate").alias("first"), F.max("FlightDate").alias("last"), F.count("*").alias("rows")
+    )
+    spans = files.orderBy("file_modification_time").collect()
+    assert sum(s["rows"] for s in spans) == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert len(spans) >= 10 and len({s["file_modification_time"] for s in spans}) == len(spans)
+    assert all(before["last"] < after["first"] for before, after in zip(spans, spans[1:]))
