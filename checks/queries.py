@@ -498,7 +498,8 @@ def _move_files(spark: SparkSession, path: str, target: str) -> None:
 
 def q_bronze_stream_rescued(spark, sf_dir):
     folder = scratch_dir(spark, "bronze-stream-rescued")
-    job = _stream_config(landed(spark, sf_dir, "damaged"), folder, rescue_column="_rescued_data")
+    path = landed(spark, sf_dir, "damaged")
+    job = _stream_config(path, folder, rescue_column="_rescued_data", files=_files(spark, path))
     many(bronze_stream(spark, *job, run_date=RUN_DATE))
     return read_batch(spark, f"{folder}/table")
 
