@@ -422,7 +422,8 @@ def q_bronze_batch_broken_lines(spark, sf_dir):
 def _broken_lines_stream(by_file_schema: bool):
     def query(spark, sf_dir):
         folder = scratch_dir(spark, "broken-stream")
-        job = _stream_config(_with_broken_lines(spark, sf_dir, f"{folder}/in"), folder, rescue_column="_rescued_data")
+        path = _with_broken_lines(spark, sf_dir, f"{folder}/in")
+        job = _stream_config(path, folder, rescue_column="_rescued_data", files=_files(spark, path))
         job[0]["autoloaderOptions"]["cloudFiles.format"] = "json"
         many(bronze_stream(spark, *job, run_date=RUN_DATE, by_file_schema=by_file_schema))
         return read_bronze(spark, f"{folder}/table") if by_file_schema else read_batch(spark, f"{folder}/table")

@@ -78,20 +78,31 @@ def infer_stream_schema(
     return read_batch(spark, path, fmt, options={**united, **(options or {})}).schema
 
 
-def schema_groups(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> list[list[str]]:
+def schema_groups(
+    spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> list[list[str]]:
     """Files in groups whose schemas unite. Files that don't unite are halved until they do; groups of
     one schema are put together."""
+    return [files for _, files in united_schemas(spark, paths, fmt, options)]
+
+
+def united_schemas(
+    spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> list[tuple[StructType, list[str]]]:
+    """The groups of ``schema_groups``, each with its schema, so that a reader needn't infer it again: for text
+    records that is a pass over all of them."""
+    given = {**(options or {}), "mergeSchema": "true"}
     todo, groups = [sorted(paths)], {}
     while todo:
         files = todo.pop()
         try:
-            schema = read_batch(spark, files, fmt, options={"mergeSchema": "true"}).schema
+            schema = read_batch(spark, files, fmt, options=given, corrupt_records=True).schema
         except Exception as refused:
             if len(files) == 1 or "CANNOT_MERGE" not in str(refused):
                 raise
             todo += [files[: len(files) // 2], files[len(files) // 2 :]]
             continue
-        groups.setdefault(schema.json(), []).extend(files)
+        groups.setdefault(schema.json(), (schema, []))[1].extend(files)
     return list(groups.values())
 
 

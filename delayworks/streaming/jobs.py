@@ -18,7 +18,7 @@ from delayworks.plans.silver import clean_flights
 from delayworks.schema import FLIGHT_KEY, FLIGHT_SCHEMA
 from delayworks.sinks import run_available
 from delayworks.sinks.batches import read_live, write_batches
-from delayworks.sources import read_batch, read_new_paths, schema_groups
+from delayworks.sources import read_batch, read_new_paths, united_schemas
 from delayworks.streaming.config import StreamInput, StreamOutput
 from delayworks.streaming.counts import counted, counts_of, store_counts
 from delayworks.streaming.gold import daily_route_by_arrival, daily_route_partials, write_days
@@ -64,8 +64,11 @@ def _bronze_by_file_schema(
 
     def fitted(paths: DataFrame) -> DataFrame:
         files = [row["path"] for row in paths.collect()]  # as many as the cap on files lets in
-        how = {"options": {**source.options, "mergeSchema": "true"}, "corrupt_records": True}
-        groups = (read_batch(spark, group, source.fmt, **how) for group in schema_groups(spark, files, source.fmt))
+        given = {**source.options, "mergeSchema": "true"}
+        groups = (
+            read_batch(spark, group, source.fmt, schema, given, corrupt_records=True)
+            for schema, group in united_schemas(spark, files, source.fmt, source.options)
+        )
         frames = [rescue_columns(raw, FLIGHT_SCHEMA, rescue) for raw in groups]
         return stamp_ingestion(reduce(DataFrame.unionByName, frames), BRONZE_STAMPS, run_date)
 

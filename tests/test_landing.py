@@ -34,3 +34,25 @@ def test_files_in_order_of_dates_grow_with_the_rows_and_share_no_date(spark, mon
     assert sum(s["rows"] for s in spans) == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
     assert len(spans) >= 10 and len({s["file_modification_time"] for s in spans}) == len(spans)
     assert all(before["last"] < after["first"] for before, after in zip(spans, spans[1:]))
+
+
+def test_by_file_stream_infers_a_micro_batch_once(spark, tmp_path, monkeypatch):
+    from delayworks.sources import files as sources
+    from delayworks.streaming import bronze_stream, read_bronze
+    from delayworks.streaming import jobs
+
+    asked, read_batch = [], sources.read_batch
+
+    def counting(spark, path, fmt="parquet", schema=None, *how, **more):
+        if fmt == "json" and schema is None:
+            asked.append(path)
+        return read_batch(spark, path, fmt, schema, *how, **more)
+
+    for module in (sources, jobs):
+        monkeypatch.setattr(module, "read_batch", counting)
+    path = _with_broken_lines(spark, SMALL, f"{tmp_path}/in")
+    job = queries._stream_config(path, f"{tmp_path}/out", rescue_column="_rescued_data")
+    job[0]["autoloaderOptions"]["cloudFiles.format"] = "json"
+    query = bronze_stream(spark, *job, by_file_schema=True)
+    assert len(asked) == sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    assert read_bronze(spark, f"{tmp_path}/out/table").count() == spark.read.text(path).count()
