@@ -527,8 +527,8 @@ def q_silver_stream(spark, sf_dir):
     folder = scratch_dir(spark, "silver-stream")
     flights = read_batch(spark, landed(spark, sf_dir, "flights"))
     for _ in range(2):
-        _add_files(flights, f"{folder}/in")
-        many(silver_stream(spark, *_stream_config(f"{folder}/in", folder)))
+        files = _add_files(flights, f"{folder}/in")
+        many(silver_stream(spark, *_stream_config(f"{folder}/in", folder, files=files)))
     return read_batch(spark, f"{folder}/table").select(*FLIGHT_KEY)
 
 

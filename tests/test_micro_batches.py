@@ -32,6 +32,6 @@ def test_the_cap_takes_the_same_share_of_more_files(files, file_cap, wanted):
     assert source["autoloaderOptions"]["cloudFiles.maxFilesPerTrigger"] == str(wanted)
 
 
-@pytest.mark.parametrize("name", ["layers_stream", "silver_stream_stored", "bronze_stream_rescued", "bronze_stream_broken_lines"])
+@pytest.mark.parametrize("name", ["layers_stream", "silver_stream_stored", "bronze_stream_rescued", "bronze_stream_broken_lines", "silver_stream"])
 def test_micro_batches_do_not_grow_with_the_landed_files(spark, monkeypatch, name):
     assert max(batches_over_many_files(spark, monkeypatch, name)) <= 2 * queries.BATCHES
