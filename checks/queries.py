@@ -536,9 +536,9 @@ def q_stream_counts(spark, sf_dir):
     """Rows in and out of both silver forms over two deliveries, and of bronze, summed over micro-batches."""
     folder, counts = scratch_dir(spark, "counts"), []
     flights = read_batch(spark, landed(spark, sf_dir, "flights"))
-    jobs = {form: _stream_config(f"{folder}/in", f"{folder}/{form}") for form in ("bronze", "state", "stored")}
     for _ in range(2):
-        _add_files(flights, f"{folder}/in")
+        files = _add_files(flights, f"{folder}/in")
+        jobs = {form: _stream_config(f"{folder}/in", f"{folder}/{form}", files=files) for form in ("bronze", "state", "stored")}
         many(bronze_stream(spark, *jobs["bronze"], run_date=RUN_DATE))
         many(silver_stream(spark, *jobs["state"]))
         many(silver_stream(spark, *jobs["stored"], stored=True))
